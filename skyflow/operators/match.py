@@ -11,6 +11,7 @@ radius) is the same descent from the top.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -22,8 +23,10 @@ from skyflow.operators.cells import cell_height, own_cell, sky_cells
 DENSE = 128
 # Cells of one key that may form the first level of a descent.
 ROOTS = 64
-# Nested cell sizes (degrees) of an all-sky descent, each 8 times finer.
-TREE_LEVELS = [5.625 / 8**i for i in range(7)]
+# Nested cell sizes (degrees) of an all-sky descent, each 4 times finer.
+TREE_LEVELS = [22.5 / 4**i for i in range(10)]
+# A cell with at most this many positions is compared directly at the end of a descent.
+LEAF = 32
 # Slack (radians) of the branch bounds: wider than the rounding step of separations, so ties survive.
 SLACK = 1e-11
 
@@ -54,11 +57,16 @@ def _site_struct(sites: DataFrame) -> DataFrame:
     return sites.withColumns({"_x": x, "_y": y, "_z": z}).withColumn("_site", F.struct("_s", "_x", "_y", "_z"))
 
 
-def _nearest_in(array: Column, x: Column, y: Column, z: Column) -> Column:
-    """Smallest ``(sep, id)`` among an array of sites; null for a null array."""
+def _chord2(x: Column, y: Column, z: Column, bx: Column, by: Column, bz: Column) -> Column:
+    dx, dy, dz = x - bx, y - by, z - bz
+    return dx * dx + dy * dy + dz * dz
+
+
+def _ranked(sites: Column, x: Column, y: Column, z: Column) -> Column:
+    """Smallest ``(sep, id)`` of an array of sites; null when there is none."""
     return F.array_min(
         F.transform(
-            array,
+            sites,
             lambda s: F.struct(
                 _arcsec(chord_angle(x, y, z, s["_x"], s["_y"], s["_z"])).alias("sep"), s["_s"].alias("s")
             ),
@@ -66,9 +74,18 @@ def _nearest_in(array: Column, x: Column, y: Column, z: Column) -> Column:
     )
 
 
-def _spread(df: DataFrame, best: Column, rid: str, cols, prefix: str, sep_col: str, keep: Column) -> DataFrame:
-    """Unpack the winning struct into output columns, null where ``keep`` fails."""
-    df = df.withColumn("_best", F.when(keep, best))
+def _sites_within(sites: Column, x: Column, y: Column, z: Column, chord2: Column) -> Column:
+    """Cheap prefilter: few sites reach the exact, rounded comparison."""
+    return F.filter(sites, lambda s: _chord2(x, y, z, s["_x"], s["_y"], s["_z"]) <= chord2)
+
+
+def _once(df: DataFrame, best: Column, keep) -> DataFrame:
+    """``_best`` evaluated once per row: a generator, unlike a projection, is not inlined into filters."""
+    return df.withColumn("_best", F.explode_outer(F.filter(F.array(best), keep)))
+
+
+def _spread(df: DataFrame, rid: str, cols, prefix: str, sep_col: str) -> DataFrame:
+    """Unpack the winning struct ``_best`` into output columns."""
     out = {sep_col: F.col("_best.sep"), _out_name(rid, prefix): F.col("_best.s.id")}
     for c in cols:
         if c != rid:
@@ -113,26 +130,27 @@ def sky_match(
         sparse_copies = copies.join(crowded, on, "left_anti")
         sparse_sources = sources.join(crowded, on, "left_anti")
 
+    def hit(b: Column) -> Column:
+        return (b["sep"] <= radius) if inclusive else (b["sep"] < radius)
+
     cells = _site_struct(sparse_copies).groupBy(*on).agg(F.collect_list("_site").alias("_sites"))
     x, y, z = unit_vector(lra, ldec)
-    found = (
-        sparse_sources.join(cells, on, "left" if how == "left" else "inner")
-        .withColumns({"_lx": x, "_ly": y, "_lz": z})
-        .withColumn("_near", _nearest_in(F.col("_sites"), F.col("_lx"), F.col("_ly"), F.col("_lz")))
-        .drop("_sites", "_lx", "_ly", "_lz")
-    )
+    found = sparse_sources.join(cells, on, "left" if how == "left" else "inner")
+    found = found.withColumns({"_lx": x, "_ly": y, "_lz": z})
+    xyz = (F.col("_lx"), F.col("_ly"), F.col("_lz"))
+    reach = 2 * math.sin(min(math.radians(radius_deg) + 1e-9, math.pi) / 2)
+    near = _ranked(_sites_within(F.col("_sites"), *xyz, F.lit(reach * reach)), *xyz)
+    found = _once(found, near, hit).drop("_sites", "_lx", "_ly", "_lz")
     if is_crowded:
         busy = sources.join(crowded, on, "left_semi")
-        near = nearest_by_descent(
-            busy, left_pos, copies.join(crowded, on, "left_semi"), on, [h / 4**i for i in range(1, 7)]
+        far = nearest_by_descent(
+            busy, left_pos, copies.join(crowded, on, "left_semi"), on, [h / 4**i for i in range(1, 10)]
         )
-        found = found.unionByName(near.select(*found.columns))
-    sep = F.col("_near.sep")
-    hit = (sep <= radius) if inclusive else (sep < radius)
+        far = _once(far, F.col("_near"), hit)
+        found = found.unionByName(far.select(*found.columns))
     if how == "inner":
-        found = found.where(hit)
-    out = _spread(found, F.col("_near"), right_id, cols, prefix, sep_col, hit)
-    return out.drop("_cell", "_near")
+        found = found.where(F.col("_best").isNotNull())
+    return _spread(found, right_id, cols, prefix, sep_col).drop("_cell")
 
 
 def sky_nearest(
@@ -151,8 +169,7 @@ def sky_nearest(
     keys, cols = list(keys), list(right_cols)
     sites = _reference_sites(right, right_pos, right_id, keys, cols)
     near = nearest_by_descent(left, left_pos, sites, keys, TREE_LEVELS)
-    out = _spread(near, F.col("_near"), right_id, cols, prefix, sep_col, F.lit(True))
-    return out.drop("_near")
+    return _spread(near.withColumnRenamed("_near", "_best"), right_id, cols, prefix, sep_col)
 
 
 def _nested_cell(ra: Column, dec: Column, size: float) -> Column:
@@ -175,7 +192,7 @@ def _tree_shape(sites: DataFrame, keys: list[str], levels: list[float]) -> tuple
     # level i is grouped by its cell and all coarser ones
     level = [shape[(1 << (len(names) - 1 - i)) - 1] for i in range(len(names))]
     start = max([i for i, r in enumerate(level) if r["c"] <= ROOTS], default=0)
-    leaf = next((i for i, r in enumerate(level) if i >= start and r["m"] <= DENSE // 4), len(levels) - 1)
+    leaf = next((i for i, r in enumerate(level) if i >= start and r["m"] <= LEAF), len(levels) - 1)
     return start, leaf
 
 
@@ -203,37 +220,35 @@ def nearest_by_descent(
         left, sites = left.withColumn("_one", F.lit(1)), sites.withColumn("_one", F.lit(1))
     x, y, z = unit_vector("_lra", "_ldec")
     cand = left.select(*pos).where(F.col("_lra").isNotNull() & F.col("_ldec").isNotNull()).distinct()
-    cand = cand.withColumns({"_lx": x, "_ly": y, "_lz": z})
+    cand = cand.withColumns({"_lx": x, "_ly": y, "_lz": z, "_ub": F.lit(2.1)})
     xyz = (F.col("_lx"), F.col("_ly"), F.col("_lz"))
     own = [*pos, "_lx", "_ly", "_lz"]
     parent: list[str] = []
     for i in range(start, leaf + 1):
         cand = cand.join(_children(sites, keys, parent, f"_c{i}"), keys + parent)
-        reach = F.array_min(F.transform("_kids", lambda k: chord_angle(*xyz, k["rx"], k["ry"], k["rz"])))
-        cand = cand.withColumn("_ub", reach)
-
-        def near_edge(k: Column) -> Column:
-            return chord_angle(*xyz, k["cx"], k["cy"], k["cz"]) - k["rad"]
-
-        kids = F.transform(
-            "_kids", lambda k: F.struct(k["cell"].alias("cell"), near_edge(k).alias("lb"))
-        )
-        cand = cand.select(
-            *own, "_ub", F.explode(F.filter(kids, lambda k: k["lb"] <= F.col("_ub") + SLACK)).alias("_k")
-        )
-        best = F.min("_ub").over(Window.partitionBy(*pos))
-        cand = (
-            cand.withColumn("_ub", best)
-            .where(F.col("_k.lb") <= F.col("_ub") + SLACK)
-            .select(*own, F.col("_k.cell").alias(f"_c{i}"))
+        reach = F.array_min(F.transform("_kids", lambda k: _chord2(*xyz, k["rx"], k["ry"], k["rz"])))
+        cand = cand.withColumn("_ub", F.least("_ub", F.sqrt(reach)))
+        # chords obey the triangle inequality: a member is at least (centre - radius) away
+        close = F.filter(
+            "_kids", lambda k: F.sqrt(_chord2(*xyz, k["cx"], k["cy"], k["cz"])) <= F.col("_ub") + k["rad"] + SLACK
         )
+        cand = cand.select(*own, "_ub", F.explode_outer(close).alias("_k")).where(F.col("_k").isNotNull())
+        if i > start and i < leaf:
+            # several parents per source: share the best bound before going deeper
+            cand = cand.withColumn("_ub", F.min("_ub").over(Window.partitionBy(*pos)))
+            edge = F.sqrt(_chord2(*xyz, F.col("_k.cx"), F.col("_k.cy"), F.col("_k.cz"))) - F.col("_k.rad")
+            cand = cand.where(edge <= F.col("_ub") + SLACK)
+        cand = cand.select(*own, "_ub", F.col("_k.cell").alias(f"_c{i}"))
         parent = [f"_c{i}"]
     leaves = sites.groupBy(*keys, *parent).agg(F.collect_list("_site").alias("_sites"))
-    near = cand.join(leaves, keys + parent).withColumn("_near", _nearest_in(F.col("_sites"), *xyz))
+    near = cand.join(leaves, keys + parent)
+    bound = F.array_min(F.transform("_sites", lambda s: _chord2(*xyz, s["_x"], s["_y"], s["_z"])))
+    near = near.withColumn("_ub", F.least("_ub", F.sqrt(bound)) + SLACK)
+    close = _sites_within(F.col("_sites"), *xyz, F.col("_ub") * F.col("_ub"))
+    near = near.select(*pos, _ranked(close, *xyz).alias("_near"))
     if parent:
         near = near.groupBy(*pos).agg(F.min("_near").alias("_near"))
-    out = left.join(near.select(*pos, "_near"), pos, "left")
-    return out.drop("_lra", "_ldec", "_one")
+    return left.join(near, pos, "left").drop("_lra", "_ldec", "_one")
 
 
 def _children(sites: DataFrame, keys: list[str], parent: list[str], cell: str) -> DataFrame:

@@ -457,13 +457,17 @@ def cutouts(
         kinds, keys + ["kind"], [ident], cell,
     )
     slot = (F.col("_py") - F.col("y0")) * size + (F.col("_px") - F.col("x0"))
-    filled = inside.groupBy(*keys, ident, "kind").agg(
-        F.map_from_entries(F.collect_list(F.struct(slot.alias("k"), F.col("value").alias("v")))).alias("_m")
+    listed = inside.groupBy(*keys, ident, "kind").agg(
+        F.array_sort(F.collect_list(F.struct(slot.alias("k"), F.col("value").alias("v")))).alias("_l")
     )
-    stamp = F.transform(
-        F.sequence(F.lit(0), F.lit(size * size - 1)), lambda i: F.coalesce(F.try_element_at("_m", i), F.lit(0.0))
+    # zeros for the gap before each pixel, then the pixel: linear in the stamp size
+    before = F.concat(F.array(F.lit(-1)), F.transform("_l", lambda e: e["k"]))
+    pieces = F.zip_with(
+        F.col("_l"), F.slice(before, 1, F.size("_l")),
+        lambda e, p: F.concat(F.array_repeat(F.lit(0.0), e["k"] - p - 1), F.array(e["v"])),
     )
-    return filled.select(*keys, ident, "kind", stamp.alias("stamp"))
+    tail = F.array_repeat(F.lit(0.0), size * size - 1 - F.element_at("_l", -1)["k"])
+    return listed.select(*keys, ident, "kind", F.concat(F.flatten(pieces), tail).alias("stamp"))
 
 
 def reference_coverage(candidates: DataFrame, wcs: DataFrame, keys: Sequence[str], out: str = "flag_12") -> DataFrame:

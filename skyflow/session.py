@@ -12,6 +12,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # positional searches do much work on narrow rows: do not merge them into few tasks by bytes alone
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "32KB",
 }
 
 
@@ -44,3 +46,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives the loss of executors, unlike a local one."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that has fewer splits than cores (a file of one row group).
+
+    A scan of many files has plenty of splits and is returned unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

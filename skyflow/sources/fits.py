@@ -217,8 +217,8 @@ class PixelReader(DataSourceReader):
 
 # TFORM letter -> (numpy big-endian type, Spark type)
 TFORMS = {
-    "L": ("S1", "boolean"), "B": ("u1", "smallint"), "I": (">i2", "smallint"), "J": (">i4", "int"),
-    "K": (">i8", "bigint"), "E": (">f4", "float"), "D": (">f8", "double"),
+    "L": ("S1", T.BooleanType()), "B": ("u1", T.ShortType()), "I": (">i2", T.ShortType()), "J": (">i4", T.IntegerType()),
+    "K": (">i8", T.LongType()), "E": (">f4", T.FloatType()), "D": (">f8", T.DoubleType()),
 }
 
 
@@ -256,8 +256,7 @@ class TableSource(DataSource):
             if letter == "A":
                 kind: T.DataType = T.StringType()
             else:
-                kind = T._parse_datatype_string(TFORMS[letter][1])
-                kind = T.ArrayType(kind) if repeat > 1 else kind
+                kind = T.ArrayType(TFORMS[letter][1]) if repeat > 1 else TFORMS[letter][1]
             fields.append(T.StructField(_clean(name), kind))
         return T.StructType(fields)
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from skyflow.session import spread
+
 SOURCES = """
 select l_orderkey, l_linenumber, l_partkey, l_suppkey,
  ((l_orderkey*8+l_linenumber)*1000+l_suppkey)*20000+l_partkey as number,
@@ -99,6 +101,8 @@ select o_orderkey as object_id, case o_orderkey%4 when 0 then 'kk' when 1 then '
 from orders
 """
 
+# tables that feed heavy operators
+LARGE = {"lineitem", "orders", "embeddings"}
 BASE = ["lineitem", "orders", "customer", "part", "supplier", "nation", "region", "events", "embeddings"]
 DUCK = {"string": "varchar", "day": "strftime(ts,'%Y%m%d')", "range": "range(40) r(i)"}
 SPARK = {"string": "string", "day": "date_format(ts,'yyyyMMdd')", "range": "(select cast(id as bigint) as i from range(40))"}
@@ -148,7 +152,8 @@ def _replace_names(spark: SparkSession, name: str, sf_dir: str) -> DataFrame:
 
 
 def table_of(spark: SparkSession, name: str, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(table) if name in LARGE else table
 
 
 def view(spark: SparkSession, name: str, sf_dir: str) -> DataFrame:
