@@ -1,0 +1,41 @@
+"""A minimal ONNX network as bytes: sigmoid of the mean over a stamp cube (for checks without a trained model)."""
+
+from __future__ import annotations
+
+
+def _varint(n: int) -> bytes:
+    out = b""
+    while True:
+        n, low = n >> 7, n & 127
+        out += bytes([low | (128 if n else 0)])
+        if not n:
+            return out
+
+
+def _field(number: int, value) -> bytes:
+    if isinstance(value, int):
+        return _varint(number << 3) + _varint(value)
+    data = value.encode() if isinstance(value, str) else value
+    return _varint(number << 3 | 2) + _varint(len(data)) + data
+
+
+def _node(op: str, inputs: list[str], outputs: list[str], *attributes: bytes) -> bytes:
+    return b"".join([*(_field(1, i) for i in inputs), *(_field(2, o) for o in outputs), _field(4, op), *(_field(5, a) for a in attributes)])
+
+
+def _tensor(name: str, dims: list[int | str]) -> bytes:
+    shape = b"".join(_field(1, _field(2, d) if isinstance(d, str) else _field(1, d)) for d in dims)
+    return _field(1, name) + _field(2, _field(1, _field(1, 1) + _field(2, shape)))
+
+
+def mean_sigmoid(size: int) -> bytes:
+    axes = _field(1, "axes") + b"".join(_field(8, a) for a in (1, 2, 3)) + _field(20, 7)
+    keep = _field(1, "keepdims") + _field(3, 0) + _field(20, 2)
+    graph = b"".join([
+        _field(1, _node("ReduceMean", ["x"], ["m"], axes, keep)),
+        _field(1, _node("Sigmoid", ["m"], ["p"])),
+        _field(2, "g"),
+        _field(11, _tensor("x", ["n", 3, size, size])),
+        _field(12, _tensor("p", ["n"])),
+    ])
+    return _field(1, 7) + _field(7, graph) + _field(8, _field(1, "") + _field(2, 11))

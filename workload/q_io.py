@@ -76,7 +76,7 @@ def read_pixel_strips(spark, d):
 
 @query(
     "read_binary_tables__S3",
-    using("sources") + "select number, chip, round(alpha_j2000,9) as ra, flags, round(mag_auto,6) as mag1, round(mag_auto+1,6) as mag2 from sources",
+    using("sources") + "select number, chip, round(alpha_j2000,9) as ra, flags, round(mag_auto,9) as mag1, round(mag_auto+1,9) as mag2 from sources",
 )
 def read_binary_tables(spark, d):
     import numpy as np
@@ -102,7 +102,7 @@ def read_binary_tables(spark, d):
     view(spark, "sources", d).mapInPandas(write, "n long").write.format("noop").mode("overwrite").save()
     t = fits.read_bintable(spark, f"{out}/cat.*.fits")
     return t.select(
-        "number", "chip", F.round("ra", 9).alias("ra"), "flags", F.round(F.col("mag_aper")[0], 6).alias("mag1"), F.round(F.col("mag_aper")[1], 6).alias("mag2")
+        "number", "chip", F.round("ra", 9).alias("ra"), "flags", F.round(F.col("mag_aper")[0], 9).alias("mag1"), F.round(F.col("mag_aper")[1], 9).alias("mag2")
     )
 
 
@@ -329,7 +329,7 @@ _POLLS = """polls as (select name, site, j as poll, case when j>=event_id%4 then
 )
 def stable_upload(spark, d):
     out = scratch(spark)
-    u = _uploads(spark, d).withColumn("poll", F.explode(F.sequence(F.lit(0), F.lit(3))).cast("long"))
+    u = _uploads(spark, d).withColumn("poll", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(3).cast("long"))))
     size = F.when(F.col("poll") >= F.col("event_id") % 4, F.col("size")).otherwise(F.floor(F.col("size") * F.col("poll") / 4))
     s = stream_of(spark, u.select("name", size.alias("size"), "poll"), f"{out}/in")
     return drain(up.stable_uploads(s), out, timers=False).select("upload_name", "site", "size")

@@ -336,8 +336,9 @@ def reject_frames(spark, d):
 
 
 # sections: a frame is (chip, l_linenumber); positions rounded down so that some lie on borders
-_SECT = match("m0", "sources", "refcat", 0.5, "ref_id", keys=["chip"]) + """,
- ss as (select s.chip, s.l_linenumber as visit, s.number, floor(s.x_image)+0.5e0 as x, floor(s.y_image)+0.5e0 as y, m0.sep*2.5e0 as sep
+def sections_sql(radius: float, x: str, y: str, factor: str) -> str:
+    return match("m0", "sources", "refcat", radius, "ref_id", keys=["chip"]) + f""",
+ ss as (select s.chip, s.l_linenumber as visit, s.number, {x} as x, {y} as y, m0.sep*{factor} as sep
   from sources s left join m0 using (number)),
  b as (select chip, visit, number, x, y, sep, i, j from ss, range(8) ti(i), range(8) tj(j)
   where x>=0.5e0+i*9216e0/8 and x<=0.5e0+(i+1)*9216e0/8 and y>=0.5e0+j*9232e0/8 and y<=0.5e0+(j+1)*9232e0/8),
@@ -350,6 +351,9 @@ _SECT = match("m0", "sources", "refcat", 0.5, "ref_id", keys=["chip"]) + """,
  st as (select *, case when n_all=0 then 'empty' when ratio>0.6e0 and rms<1 then 'good' else 'bad' end as state from sec)"""
 
 
+_SECT = sections_sql(0.5, "floor(s.x_image)+0.5e0", "floor(s.y_image)+0.5e0", "2.5e0")
+
+
 def _sections(spark, d):
     m = mt.sky_match(view(spark, "sources", d), view(spark, "refcat", d), 0.5, keys=["chip"], how="left")
     m = m.select(
