@@ -201,8 +201,8 @@ def nearest_by_descent(
 ) -> DataFrame:
     """Exact nearest site per left row by branch and bound over nested cells.
 
-    Each level replaces a source's cells by those children whose nearest possible
-    member is not farther than the best representative seen so far. Adds
+    Each level is an equi-join on the parent cell that keeps the children whose
+    nearest possible member is not farther than the best member seen so far. Adds
     ``_near = struct(sep, s)``. Equal left positions are searched once.
     """
     keys, levels = list(keys), list(levels)
@@ -220,39 +220,42 @@ def nearest_by_descent(
         left, sites = left.withColumn("_one", F.lit(1)), sites.withColumn("_one", F.lit(1))
     x, y, z = unit_vector("_lra", "_ldec")
     cand = left.select(*pos).where(F.col("_lra").isNotNull() & F.col("_ldec").isNotNull()).distinct()
-    cand = cand.withColumns({"_lx": x, "_ly": y, "_lz": z, "_ub": F.lit(2.1)})
+    cand = cand.withColumns({"_lx": x, "_ly": y, "_lz": z})
     xyz = (F.col("_lx"), F.col("_ly"), F.col("_lz"))
     own = [*pos, "_lx", "_ly", "_lz"]
+    tree = {i: _cells(sites, keys, [f"_c{i - 1}"] if i > start else [], f"_c{i}") for i in range(start, leaf + 1)}
+    # first bound: one member of the source's own cell, at the finest level where that cell is occupied
+    bounds = [F.lit(2.1)]
+    for i, cells in tree.items():
+        here = f"_own{i}"
+        member = cells.select(*keys, F.col(f"_c{i}").alias(here), *[F.col(c).alias(f"{c}{i}") for c in ("rx", "ry", "rz")])
+        cand = cand.withColumn(here, _nested_cell(F.pmod(F.col("_lra"), F.lit(360.0)), F.col("_ldec"), levels[i]))
+        cand = cand.join(member, [*keys, here], "left")
+        bounds.append(F.sqrt(_chord2(*xyz, *[F.col(f"{c}{i}") for c in ("rx", "ry", "rz")])))
+    bound = F.least(*bounds) if len(bounds) > 1 else bounds[0]
+    cand = cand.select(*own, bound.alias("_ub"))
     parent: list[str] = []
-    for i in range(start, leaf + 1):
-        cand = cand.join(_children(sites, keys, parent, f"_c{i}"), keys + parent)
-        reach = F.array_min(F.transform("_kids", lambda k: _chord2(*xyz, k["rx"], k["ry"], k["rz"])))
-        cand = cand.withColumn("_ub", F.least("_ub", F.sqrt(reach)))
+    for i, cells in tree.items():
         # chords obey the triangle inequality: a member is at least (centre - radius) away
-        close = F.filter(
-            "_kids", lambda k: F.sqrt(_chord2(*xyz, k["cx"], k["cy"], k["cz"])) <= F.col("_ub") + k["rad"] + SLACK
-        )
-        cand = cand.select(*own, "_ub", F.explode_outer(close).alias("_k")).where(F.col("_k").isNotNull())
-        if i > start and i < leaf:
-            # several parents per source: share the best bound before going deeper
-            cand = cand.withColumn("_ub", F.min("_ub").over(Window.partitionBy(*pos)))
-            edge = F.sqrt(_chord2(*xyz, F.col("_k.cx"), F.col("_k.cy"), F.col("_k.cz"))) - F.col("_k.rad")
-            cand = cand.where(edge <= F.col("_ub") + SLACK)
-        cand = cand.select(*own, "_ub", F.col("_k.cell").alias(f"_c{i}"))
+        edge = F.sqrt(_chord2(*xyz, F.col("cx"), F.col("cy"), F.col("cz"))) - F.col("rad")
+        cand = cand.join(cells, keys + parent).where(edge <= F.col("_ub") + SLACK)
+        if i < leaf:
+            # share the best representative of a source's cells before going deeper
+            seen = F.least("_ub", F.sqrt(_chord2(*xyz, F.col("rx"), F.col("ry"), F.col("rz"))))
+            cand = cand.withColumn("_ub", F.min(seen).over(Window.partitionBy(*pos))).where(edge <= F.col("_ub") + SLACK)
+        cand = cand.select(*own, "_ub", f"_c{i}")
         parent = [f"_c{i}"]
-    leaves = sites.groupBy(*keys, *parent).agg(F.collect_list("_site").alias("_sites"))
-    near = cand.join(leaves, keys + parent)
-    bound = F.array_min(F.transform("_sites", lambda s: _chord2(*xyz, s["_x"], s["_y"], s["_z"])))
-    near = near.withColumn("_ub", F.least("_ub", F.sqrt(bound)) + SLACK)
-    close = _sites_within(F.col("_sites"), *xyz, F.col("_ub") * F.col("_ub"))
-    near = near.select(*pos, _ranked(close, *xyz).alias("_near"))
-    if parent:
-        near = near.groupBy(*pos).agg(F.min("_near").alias("_near"))
+    members = sites.select(*keys, *parent, "_s", "_x", "_y", "_z")
+    chord2 = _chord2(*xyz, F.col("_x"), F.col("_y"), F.col("_z"))
+    limit = F.col("_ub") + SLACK
+    near = cand.join(members, keys + parent).where(chord2 <= limit * limit)
+    sep = _arcsec(chord_angle(*xyz, F.col("_x"), F.col("_y"), F.col("_z")))
+    near = near.groupBy(*pos).agg(F.min(F.struct(sep.alias("sep"), F.col("_s").alias("s"))).alias("_near"))
     return left.join(near, pos, "left").drop("_lra", "_ldec", "_one")
 
 
-def _children(sites: DataFrame, keys: list[str], parent: list[str], cell: str) -> DataFrame:
-    """Per parent the bounded list of occupied child cells: centre, radius, one member."""
+def _cells(sites: DataFrame, keys: list[str], parent: list[str], cell: str) -> DataFrame:
+    """Occupied cells of one level: a bounding circle (centre, radius as a chord) and one member."""
     members = sites.groupBy(*keys, *parent, cell).agg(
         F.min("_ra").alias("a0"), F.max("_ra").alias("a1"), F.min("_dec").alias("d0"), F.max("_dec").alias("d1"),
         F.min(F.struct("_x", "_y", "_z")).alias("rep"),
@@ -261,11 +264,10 @@ def _children(sites: DataFrame, keys: list[str], parent: list[str], cell: str) -
     cx, cy, cz = unit_vector(mid_ra, mid_dec)
     # along the middle parallel, then along a meridian: never shorter than the true distance
     radius = F.radians(F.col("d1") - F.col("d0")) / 2 + F.radians(F.col("a1") - F.col("a0")) / 2 * F.cos(F.radians(mid_dec))
-    kid = F.struct(
-        F.col(cell).alias("cell"), cx.alias("cx"), cy.alias("cy"), cz.alias("cz"), radius.alias("rad"),
+    return members.select(
+        *keys, *parent, cell, cx.alias("cx"), cy.alias("cy"), cz.alias("cz"), radius.alias("rad"),
         F.col("rep._x").alias("rx"), F.col("rep._y").alias("ry"), F.col("rep._z").alias("rz"),
     )
-    return members.withColumn("_kid", kid).groupBy(*keys, *parent).agg(F.collect_list("_kid").alias("_kids"))
 
 
 def adaptive_match(

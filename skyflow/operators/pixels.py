@@ -408,7 +408,7 @@ def box_pixels(boxes: DataFrame, pixels: DataFrame, keys: Sequence[str], ident:
 
 
 def pixel_stats(
-    candidates: DataFrame, pixels: DataFrame, keys: Sequence[str], ident: str = "number", half: Column | None = None, cell: int = 64
+    candidates: DataFrame, pixels: DataFrame, keys: Sequence[str], ident: str = "number", half: Column | None = None, cell: int = 16
 ) -> DataFrame:
     """Per candidate box: ``n_box, n_bad, ratio_bad, n_null``.
 

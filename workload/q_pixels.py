@@ -276,7 +276,7 @@ def pixel_stats(spark, d):
     from skyflow.operators.vetting import flags_10_11
 
     c = _boxes(spark, d)
-    out = flags_10_11(c, _box_pixels(spark, d), K, half=F.lit(3.7), cell=16)
+    out = flags_10_11(c, _box_pixels(spark, d), K, half=F.lit(3.7), cell=8)
     return out.select("number", "n_box", "n_bad", "n_null", F.round("ratio_bad", 6).alias("ratio_bad"), "flag_10", "flag_11")
 
 
