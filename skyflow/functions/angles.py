@@ -31,9 +31,10 @@ def hms_to_deg(text: Column | str) -> Column:
     return dms_to_deg(text) * 15.0
 
 
-def _sexagesimal(value: Column, decimals: int) -> Column:
+def _sexagesimal(value: Column, decimals: int, turn: int = 360) -> Column:
     scale = 10**decimals
-    ticks = F.bround(value * 3600.0 * scale, 0).cast("long")
+    # rounding up at the end of a turn wraps to zero
+    ticks = F.pmod(F.bround(value * 3600.0 * scale, 0).cast("long"), F.lit(turn * 3600 * scale).cast("long"))
     whole = F.floor(ticks / scale)
     return F.format_string(
         f"%02d:%02d:%02d.%0{decimals}d",
@@ -45,7 +46,7 @@ def _sexagesimal(value: Column, decimals: int) -> Column:
 
 
 def deg_to_hms(deg: Column | str, decimals: int = 4) -> Column:
-    return _sexagesimal(F.pmod(_col(deg), F.lit(360.0)) / 15.0, decimals)
+    return _sexagesimal(F.pmod(_col(deg), F.lit(360.0)) / 15.0, decimals, 24)
 
 
 def deg_to_dms(deg: Column | str, decimals: int = 3) -> Column:

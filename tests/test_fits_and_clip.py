@@ -69,7 +69,7 @@ def test_zero_point_ignores_missing_magnitudes(spark):
 
 def test_huber_line(spark):
     y = np.linspace(10, 9000, 60)
-    line = [("a", float(t), -29.5 + 2e-6 * t) for t in y] + [("a", float(t), -24.5) for t in y[::12]]
+    line = [("a", float(t), float(-29.5 + 2e-6 * t)) for t in y] + [("a", float(t), -24.5) for t in y[::12]]
     few = [("b", 1.0, -29.0), ("b", 2.0, -29.0)]
     df = spark.createDataFrame(line + few, "amp string, y_image double, d double").withColumns({"mag": F.col("d"), "ref": F.lit(0.0)})
     got = {r["amp"]: r for r in ph.amp_zero_point_fit(df, ["amp"], "mag", "ref").collect()}

@@ -20,7 +20,7 @@ def test_scalars(spark):
         naming.observatory_of(F.lit("x.SAAO.fits")).alias("o"), naming.observatory_of(F.lit("x")).alias("u"),
     )
     assert (r["d"], r["h"], r["m"], r["t"]) == (-0.5, 180.0, 60310.5, "2024-01-01T12:00:00")
-    assert (r["w"], r["n"], r["o"], r["u"]) == ("24:00:00.0000", "-00:30:00.000", "M22", "500")
+    assert (r["w"], r["n"], r["o"], r["u"]) == ("00:00:00.0000", "-00:30:00.000", "M22", "500")
     register(spark)
     q = spark.sql("select sky_sep(0,0,0,1) s, hms_to_deg('01:00:00') h, to_mjd(timestamp'2024-01-01 12:00:00') m, flux_ratio(2.5) f").first()
     assert q["s"] == pytest.approx(1.0) and (q["h"], q["m"], q["f"]) == (15.0, 60310.5, 10.0)
