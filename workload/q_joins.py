@@ -283,14 +283,14 @@ def match_rms(spark, d):
 
 # sources spread over frames; the sky level comes from the exposure table
 _FRAME_VIEWS = """fs as (select s.*, l_orderkey//40 as frame_id from sources s),
- sky as (select o_orderkey//40 as frame_id, chip, round(avg(o_totalprice)/1500,6) as sky from orders cross join (values ('kk'),('mm'),('tt'),('nn')) t(chip) group by 1, 2)"""
+ sky as (select o_orderkey//40 as frame_id, chip, round(avg(o_totalprice)/1500,9) as sky from orders cross join (values ('kk'),('mm'),('tt'),('nn')) t(chip) group by 1, 2)"""
 
 
 def _frame_tables(spark, d):
     s = view(spark, "sources", d).withColumn("frame_id", F.expr("l_orderkey div 40"))
     o = table_of(spark, "orders", d)
     sky = (
-        o.groupBy(F.expr("o_orderkey div 40").alias("frame_id")).agg(F.round(F.avg("o_totalprice") / 1500, 6).alias("sky"))
+        o.groupBy(F.expr("o_orderkey div 40").alias("frame_id")).agg(F.round(F.avg("o_totalprice") / 1500, 9).alias("sky"))
         .withColumn("chip", F.explode(F.array(*[F.lit(c) for c in CHIPS])))
     )
     return s, sky
@@ -309,13 +309,13 @@ _QUALITY = _FRAME_VIEWS + """,
 
 @query(
     "frame_quality__A5",
-    using("sources", ctes=_QUALITY) + """select frame_id, round(sky_kk,6) as sky_kk, round(fwhm_kk,6) as fwhm_kk, round(fwhm_nn,6) as fwhm_nn,
- round(elong_tt,6) as elong_tt, round(sky_avg,6) as sky_avg, round(fwhm_avg,6) as fwhm_avg, round(elong_avg,6) as elong_avg from q""",
+    using("sources", ctes=_QUALITY) + """select frame_id, round(sky_kk,8) as sky_kk, round(fwhm_kk,8) as fwhm_kk, round(fwhm_nn,8) as fwhm_nn,
+ round(elong_tt,8) as elong_tt, round(sky_avg,8) as sky_avg, round(fwhm_avg,8) as fwhm_avg, round(elong_avg,8) as elong_avg from q""",
 )
 def frame_quality(spark, d):
     s, sky = _frame_tables(spark, d)
     q = qa.frame_quality(s, sky)
-    return q.select("frame_id", *[F.round(c, 6).alias(c) for c in ("sky_kk", "fwhm_kk", "fwhm_nn", "elong_tt", "sky_avg", "fwhm_avg", "elong_avg")])
+    return q.select("frame_id", *[F.round(c, 8).alias(c) for c in ("sky_kk", "fwhm_kk", "fwhm_nn", "elong_tt", "sky_avg", "fwhm_avg", "elong_avg")])
 
 
 @query(

@@ -220,7 +220,7 @@ def seeing_default(spark, d):
 
 @query(
     "serial_and_site_letter__G18",
-    using("uploads") + "select event_id, substr(name,15,9) as serial, substr(name,4,1) as letter from uploads",
+    using("uploads") + "select event_id, substr(name,15,6) as serial, substr(name,4,1) as letter from uploads",
 )
 def serial_and_site_letter(spark, d):
     return view(spark, "uploads", d).select(
