@@ -300,7 +300,9 @@ def upload_stream(spark, d):
 
 @query(
     "valid_upload__L2",
-    using("uploads") + """select event_id, name as upload_name, site, date, substr(name,15,6) as serial from uploads where event_id%9<>1""",
+    using("uploads", ctes="""t as (select *, case event_id%9 when 0 then '.'||name||'.7uUd6N' when 1 then 'x'||substr(name,4,9) else name end as label from uploads)""")
+    + """select event_id, regexp_extract(label,'kmt[asc]\\.\\d{8}\\.\\d{6}\\.fits') as upload_name, site, date, substr(name,15,6) as serial from t
+where regexp_matches(label,'kmt[asc]\\.\\d{8}\\.\\d{6}\\.fits')""",
 )
 def valid_upload(spark, d):
     temp = F.when(F.col("event_id") % 9 == 0, F.concat(F.lit("."), "name", F.lit(".7uUd6N"))).when(F.col("event_id") % 9 == 1, F.concat(F.lit("x"), F.substring("name", 4, 9))).otherwise(F.col("name"))
