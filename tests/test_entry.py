@@ -10,3 +10,13 @@ def test_entry_runs(spark):
 def test_every_check_has_a_query():
     queries, sql = entry.queries(), entry.oracle_sql()
     assert set(sql) <= set(queries) and len(queries) > 100
+
+
+def test_catalog_needs_no_session():
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    code = "import __spark_entry__ as e; assert len(e.oracle_sql()) > 100"
+    assert subprocess.run([sys.executable, "-c", code], cwd=root).returncode == 0
