@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import string
 import sys
 import types
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from itertools import islice
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,17 +74,24 @@ def map_rows(df: DataFrame, fn: Callable[[Iterator[tuple]], Iterable[tuple]], sc
     return df.mapInArrow(batches, schema)
 
 
+#: What may trail a word as a match of its own: ASCII marks, but for the apostrophe, which can open a contraction.
+_MARKS = string.punctuation.replace("'", "")
+
+
 class WordEncoder:
     """Ids of the ``tokenizers`` library for whole texts, memoised by the words between spaces and line ends.
 
-    The tokenizer drops white space and merges inside words only, so the ids of a text are those of its
-    words one after another; each distinct word goes through the library. At most ``limit`` words are kept.
+    The tokenizer lower-cases, drops white space and merges inside words only, so the ids of a text are those of its
+    words one after another; each distinct word goes through the library. A word of Latin letters and marks behind
+    them is looked up as two. At most ``limit`` words and as many stems are kept.
     """
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 400_000):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.limit, self.known = Tokenizer.from_file(path), limit, {"": b""}
+        self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        self.known: dict[str, bytes] = {"": b""}
+        self.stems: dict[str, bytes] = {}
 
     @staticmethod
     def shared(path: str) -> WordEncoder:
@@ -90,15 +100,40 @@ class WordEncoder:
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         words = text.replace("\n", " ").split(" ")
-        try:
-            return b"".join(map(self.known.__getitem__, words))
-        except KeyError:
-            pass
-        known = self.known
-        new = list(dict.fromkeys(w for w in words if w not in known))
-        found = {}
-        for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            found[w] = b"".join(i.to_bytes(4, "little") for i in e.ids)
-        for w in new[: max(0, self.limit - len(known))]:
-            known[w] = found[w]
-        return b"".join([known[w] if w in known else found[w] for w in words])
+        found = list(map(self.known.get, words))
+        if None in found:
+            missing = [i for i, f in enumerate(found) if f is None]
+            new = self.look_up({words[i] for i in missing})
+            for i in missing:
+                found[i] = new[words[i]]
+        return b"".join(found)
+
+    def look_up(self, words: set[str]) -> dict[str, bytes]:
+        split, new = {}, {}
+        for w in words:
+            stem = w.rstrip(_MARKS)
+            if stem.isalpha() and max(stem) < "\u0250" and len(stem.lower()) == len(stem):
+                split[w] = stem.lower(), w[len(stem) :]
+        stems = self.letters({s for s, _ in split.values() if s not in self.stems})
+        whole = list({w for w in words if w not in split} | {m for _, m in split.values() if m not in self.known})
+        for w, e in zip(whole, self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)):
+            new[w] = np.array(e.ids, "<u4").tobytes()
+        for w, (stem, marks) in split.items():
+            tail = new[marks] if marks in new else self.known[marks]
+            new[w] = (stems[stem] if stem in stems else self.stems[stem]) + tail
+        for kept, more in ((self.stems, stems), (self.known, new)):
+            room = self.limit - len(kept)
+            kept.update(more if len(more) <= room else islice(more.items(), max(0, room)))
+        return new
+
+    def letters(self, stems: set[str]) -> dict[str, bytes]:
+        """Words of letters alone: many go through the library as one text, where each is a word of its own."""
+        out, todo = {}, list(stems)
+        for lo in range(0, len(todo), 2000):
+            part = todo[lo : lo + 2000]
+            e = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            ids, word = np.array(e.ids, "<u4"), np.array(e.word_ids)
+            cuts = np.searchsorted(word, np.arange(len(part) + 1)) * 4
+            data = ids.tobytes()
+            out.update((w, data[a:b]) for w, a, b in zip(part, cuts.tolist(), cuts[1:].tolist()))
+        return out
