@@ -17,7 +17,9 @@ from pyspark.sql import DataFrame
 
 from skyflow.llm.common import map_rows, prepare, worker_state
 
-KEPT = 300_000
+#: Entries of each memory of a worker.
+KEPT = 400_000
+HEAD = 8
 _SPACES = re.compile(r"\s ")
 
 
@@ -34,6 +36,12 @@ class ByteBpe:
 
         self.ranks, self.tokens = ranks, {i: b for b, i in ranks.items()}
         self.longest = max(map(len, ranks))
+        ending: dict[bytes, set[int]] = {}
+        for b in ranks:
+            if len(b) > 2:
+                ending.setdefault(b[-3:], {1, 2}).add(len(b))
+        self.lengths = {b: tuple(sorted(n, reverse=True)) for b, n in ending.items()}  # of tokens with these last bytes
+        self.heads: dict[bytes, list[int]] = {}
         self.split = regex.compile(pattern).findall
         self.fits: dict[int, bool] = {}
         self.parts: dict[str, tuple[int, ...]] = {}
@@ -67,16 +75,18 @@ class ByteBpe:
 
     def extend(self, data: bytes, last: list[int]) -> list[int]:
         """``last[i]`` is the last token of the first i + 1 bytes; goes on from where ``last`` ends."""
-        rank, size, fits, beside, longest = self.ranks.get, self.tokens, self.fits.get, self.beside, self.longest
+        rank, fits, beside, lengths = self.ranks.get, self.fits.get, self.beside, self.lengths.get
         for end in range(len(last) + 1, len(data) + 1):
-            for start in range(max(0, end - longest), end):  # the longest token first
-                token = rank(data[start:end])
+            for n in lengths(data[end - 3 : end], (2, 1)) if end > 2 else (2, 1):  # the longest token first
+                if n > end:
+                    continue
+                token = rank(data[end - n : end])
                 if token is not None:
-                    if not start:
-                        if end == 1 or self.alone(token):
+                    if n == end:
+                        if n == 1 or self.alone(token):
                             break
                         continue
-                    left = last[start - 1]
+                    left = last[end - n - 1]
                     known = fits(left << 32 | token)
                     if beside(left, token) if known is None else known:
                         break
@@ -92,6 +102,17 @@ class ByteBpe:
             self.fits[key] = self.merged(self.tokens[token]) == [self.tokens[token]]
         return self.fits[key]
 
+    def prefixes(self, data: bytes) -> list[int]:
+        """``extend`` from nothing; many parts begin alike, so what belongs to their first bytes is kept."""
+        if len(data) <= HEAD:
+            return self.extend(data, [])
+        head = self.heads.get(data[:HEAD])
+        if head is None:
+            head = self.extend(data[:HEAD], [])
+            if len(self.heads) < KEPT:
+                self.heads[data[:HEAD]] = head
+        return self.extend(data, head.copy())
+
     def walk(self, last: list[int]) -> list[int]:
         out, at = [], len(last)
         while at:
@@ -104,7 +125,7 @@ class ByteBpe:
         if ids is None:
             data = part.encode()
             whole = self.ranks.get(data)
-            ids = (whole,) if whole is not None else tuple(self.walk(self.extend(data, [])))
+            ids = (whole,) if whole is not None else tuple(self.walk(self.prefixes(data)))
             if len(self.parts) < KEPT:
                 self.parts[part] = ids
         return ids

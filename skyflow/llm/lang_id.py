@@ -191,7 +191,8 @@ class WordScores:
     def batch(self, texts: list[list[str]]) -> list[np.ndarray]:
         if len(self.place) > KEPT_WORDS:
             self.place, self.values = {}, self.values[:0]
-        new = list({w for t in texts for w in t} - self.place.keys())
+        place = self.place
+        new = list({w for t in texts for w in t if w not in place})
         if new:
             self.place.update(zip(new, range(len(self.values), len(self.values) + len(new))))
             self.values = np.concatenate([self.values, self.model.log_words(new)])

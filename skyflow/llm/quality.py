@@ -1,6 +1,6 @@
 """Quality classifier on supervised subword embeddings.
 
-A word is the mean of the learned vectors of its own hash and of its character 3- and 4-grams' hashes, a text the
+A word is the mean of the learned vectors of its own hash and of its 3- and 4-grams' (of its bytes) hashes, a text the
 mean of its words; a softmax layer on the text's vector gives the class. Vectors and layer are learned by
 stochastic gradient descent in numpy on a bounded sample of labelled rows.
 """
@@ -25,23 +25,37 @@ FIT_ROWS = 3000
 KEPT_WORDS = 300_000
 
 
-def features(word: str) -> list[int]:
-    """Hash places of a word and of its character n-grams; words over 64 characters give those of each 64."""
-    out = [zlib.crc32(word.encode()) % BUCKETS]
-    marked = f"<{word}>".encode()
-    out += [zlib.crc32(marked[i : i + n]) % BUCKETS for n in (3, 4) for i in range(len(marked) - n + 1)]
-    return out
+def places(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hash places of words and of their n-grams of 3 and 4 bytes (with an end mark on both sides), word by word,
+    and how many each word has."""
+    marked = [b"<" + w.encode() + b">" for w in words]
+    size = np.fromiter(map(len, marked), np.int64, len(marked))
+    data = np.frombuffer(b"".join(marked) + bytes(4), np.uint8).astype(np.uint64)
+    ends, own = np.cumsum(size), np.repeat(np.arange(len(words)), size)
+    at = np.arange(len(own))
+    code = data[:-4] | data[1:-3] << np.uint64(8) | data[2:-2] << np.uint64(16)
+    found, of = [np.fromiter((zlib.crc32(w) % BUCKETS for w in marked), np.int64, len(marked))], [np.arange(len(words))]
+    for n in (3, 4):
+        if n == 4:
+            code = code | data[3:-1] << np.uint64(24)
+        inside = at + n <= ends[own]
+        found.append(((code[inside] * np.uint64(0x9E3779B97F4A7C15 + 2 * n)) >> np.uint64(40)).astype(np.int64) % BUCKETS)
+        of.append(own[inside])
+    of_all = np.concatenate(of)
+    order = np.argsort(of_all, kind="stable")
+    return np.concatenate(found)[order], np.bincount(of_all, minlength=len(words))
 
 
 def text_features(text: str | None) -> tuple[list[int], list[float]]:
     """Hash places of a text and their weights, which sum to 1 (none for an empty text)."""
     words = (text or "").split()
-    weights: Counter = Counter()
-    for word, n in Counter(words).items():
-        places = features(word)
-        for f in places:
-            weights[f] += n / len(words) / len(places)
-    return list(weights), list(weights.values())
+    if not words:
+        return [], []
+    counts = Counter(words)
+    found, n = places(list(counts))
+    weight = np.fromiter(counts.values(), float, len(counts)) / len(words) / n
+    place, back = np.unique(found, return_inverse=True)
+    return place.tolist(), np.bincount(back, np.repeat(weight, n)).tolist()
 
 
 class SubwordModel:
@@ -84,28 +98,22 @@ class SubwordModel:
                     value -= rate * g / np.sqrt(s)
         return SubwordModel(vectors @ (layer[:, 1] - layer[:, 0]), bias[1] - bias[0])
 
-    def words(self) -> _Words:
-        return _Words(self.place_score)
+    def word_scores(self, words: list[str]) -> list[float]:
+        """A word's share of the log odds."""
+        found, n = places(words)
+        return (np.bincount(np.repeat(np.arange(len(n)), n), self.place_score[found], len(n)) / n).tolist()
 
-    def score(self, text: str | None, known: dict[str, float]) -> float:
-        """Probability of class 1."""
-        words = (text or "").split()
-        odds = self.bias + (sum(map(known.__getitem__, words)) / len(words) if words else 0.0)
-        return float(1 / (1 + np.exp(-np.clip(odds, -500, 500))))
-
-
-class _Words(dict):
-    """Share of the log odds by word; keeps a bounded number of words."""
-
-    def __init__(self, place_score: np.ndarray):
-        super().__init__()
-        self.place_score = place_score
-
-    def __missing__(self, word: str) -> float:
-        value = float(self.place_score[features(word)].mean())
-        if len(self) < KEPT_WORDS:
-            self[word] = value
-        return value
+    def scores(self, texts: list[str | None], known: dict[str, float]) -> list[float]:
+        """Probabilities of class 1; ``known`` keeps a bounded number of words."""
+        split = [(t or "").split() for t in texts]
+        if len(known) > KEPT_WORDS:
+            known.clear()
+        new = list({w for words in split for w in words if w not in known})
+        if new:
+            known.update(zip(new, self.word_scores(new)))
+        get = known.__getitem__
+        odds = np.array([self.bias + (sum(map(get, w)) / len(w) if w else 0.0) for w in split])
+        return (1 / (1 + np.exp(-np.clip(odds, -500, 500)))).tolist()
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = FIT_ROWS) -> SubwordModel:
@@ -122,14 +130,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int =
 
     def extract(items: Iterator[tuple]) -> Iterator[tuple]:
         for doc_id, text, y in items:
-            places, weights = text_features(text)
-            yield doc_id, places, weights, y
+            yield doc_id, *text_features(text), y
 
     got = map_rows(picked, extract, "doc_id string, places array<int>, weights array<float>, label int", 100).orderBy("doc_id").toArrow()
-    places, weights = got.column("places").combine_chunks(), got.column("weights").combine_chunks()
-    ends = np.asarray(places.offsets)
-    flat_p, flat_w = places.values.to_numpy(), weights.values.to_numpy()
-    return SubwordModel.train([(flat_p[a:b], flat_w[a:b], y) for a, b, y in zip(ends, ends[1:], got.column("label").to_pylist())])
+    place, weight = got.column("places").combine_chunks(), got.column("weights").combine_chunks()
+    ends, place, weight = np.asarray(place.offsets), place.values.to_numpy(), weight.values.to_numpy()
+    return SubwordModel.train([(place[a:b], weight[a:b], y) for a, b, y in zip(ends, ends[1:], got.column("label").to_pylist())])
 
 
 def scored(text: Column, model: SubwordModel, spark) -> Column:
@@ -138,10 +144,11 @@ def scored(text: Column, model: SubwordModel, spark) -> Column:
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        m = sent.value
-        known = m.words()
+        m, known = sent.value, {}
         for texts in batches:
-            yield pd.Series([m.score(x, known) for x in texts], dtype="float64")
+            texts = texts.tolist()
+            parts = [m.scores(texts[lo : lo + 250], known) for lo in range(0, len(texts), 250)]
+            yield pd.Series([x for part in parts for x in part], dtype="float64")
 
     return score(text)
 
