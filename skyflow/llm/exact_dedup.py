@@ -37,30 +37,32 @@ def dedup(docs: DataFrame, digest: Callable[[bytes], bytes] | None = None) -> Da
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def local(rows: Iterator[tuple]) -> Iterator[tuple]:
-        """Every row with its group in the task; the group's first row carries the content, without loss."""
+        """Every row with its group in the task; then a row of each group, with its content (packed without loss)."""
         from pyspark import TaskContext
 
         part, pack = TaskContext.get().partitionId(), zstandard.ZstdCompressor(level=3).compress
-        groups: dict[bytes, list[tuple[bytes, int]]] = {}
+        groups: dict[bytes, list[list]] = {}
         number, held = 0, 0
         for doc_id, text in rows:
             content = normalised(text)
             key = hashed(content)
             same = groups.setdefault(key, [])
-            found = next((g for packed, g in same if (zstandard.decompress(packed) if packed else b"") == content), None)
-            if found is not None:
-                yield doc_id, key, part, found, None
-                continue
-            packed = pack(content) if content else b""
-            same.append((packed, number))
-            yield doc_id, key, part, number, packed
-            number, held = number + 1, held + len(packed) + len(key) + 200
+            found = next((g for g in same if (zstandard.decompress(g[0]) if g[0] else b"") == content), None)
+            if found is None:
+                found = [pack(content) if content else b"", number, doc_id, 0]
+                same.append(found)
+                number, held = number + 1, held + len(found[0]) + len(key) + 200
+            elif found[2] is None or (doc_id is not None and doc_id > found[2]):
+                found[2] = doc_id
+            found[3] += 1
+            yield doc_id, key, part, found[1], None, None
             if held > HELD_BYTES:
+                yield from ((g[2], k, part, g[1], g[3], g[0]) for k, same in groups.items() for g in same)
                 groups, held = {}, 0
+        yield from ((g[2], k, part, g[1], g[3], g[0]) for k, same in groups.items() for g in same)
 
-    rows = written(map_rows(docs.select("doc_id", "text"), local, f"doc_id {id_type}, digest binary, part int, local int, content binary", 500), "exact")
-    size = rows.groupBy("part", "local").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("n"))
-    winners = rows.where("content is not null").select("part", "local", "digest", "content").join(size, ["part", "local"])
+    found = written(map_rows(docs.select("doc_id", "text"), local, f"doc_id {id_type}, digest binary, part int, local int, n long, content binary", 500), "exact")
+    rows, winners = found.where("n is null"), found.where("n is not null").withColumnRenamed("doc_id", "keep_id")
     member = "members array<struct<part:int,local:int>>"
     schema = f"salt int, digest binary, content binary, keep_id {id_type}, n long, {member}"
 
