@@ -122,7 +122,8 @@ def dedup_lines(docs: DataFrame, least: int = 10) -> DataFrame:
     prepare(docs.sparkSession)
     found = written(suspects(docs, least), "lines")
     first = found.groupBy("key").agg(F.min("doc_id").alias("_first"), F.max("doc_id").alias("_last"))
-    first = first.where("_first < _last").select("key", "_first")
+    # written, so that the join deals both sides anew and AQE can split the rows of a line that most documents have
+    first = written(first.where("_first < _last").select("key", "_first"), "repeated-lines")
     drops = found.join(first, "key").where("doc_id > _first").groupBy("doc_id").agg(F.collect_set("key").alias("_drop"))
     carried = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     joined = docs.select(*carried).join(drops, "doc_id", "left").select(*carried, "_drop")
