@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyflow.llm.common import WordEncoder, map_rows, prepare, written
@@ -25,16 +25,22 @@ LANE = 64
 
 
 def token_ids(docs: DataFrame, tokenizer: str, end_id: int = 2) -> DataFrame:
-    """doc_id and ids (little-endian unsigned 32-bit integers) of every text and the end id; a null text is empty."""
+    """doc_id, ids and width of every text and the end id; a null text is empty.
+
+    ``ids`` are little-endian unsigned integers of ``width`` bytes: 2 where the tokenizer's ids allow it, else 4.
+    """
+    from tokenizers import Tokenizer
+
+    width = 2 if max(Tokenizer.from_file(tokenizer).get_vocab_size(), end_id + 1) <= 1 << 16 else 4
     end = end_id.to_bytes(4, "little")
 
     def encode(rows: Iterator[tuple]) -> Iterator[tuple]:
         encoder = WordEncoder.shared(tokenizer)
         for doc_id, text in rows:
-            yield doc_id, encoder.encode(text or "") + end
+            yield doc_id, np.frombuffer(encoder.encode(text or "") + end, "<u4").astype(f"<u{width}").tobytes(), width
 
     prepare(docs.sparkSession)
-    return map_rows(docs.select("doc_id", "text"), encode, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids binary", 500)
+    return map_rows(docs.select("doc_id", "text"), encode, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids binary, width int", 500)
 
 
 def code_lengths(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:
@@ -79,14 +85,17 @@ def canonical(lengths: np.ndarray) -> np.ndarray:
 
 def encode_block(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[bytes, np.ndarray]:
     """Coded bits and the bit offset of every LANE-th id."""
+    if not len(ids):
+        return b"", np.zeros(0, np.int64)
     bits = lengths[ids].astype(np.int64)
     at = np.cumsum(bits) - bits
-    placed = codes[ids].astype(np.uint64) << (32 - bits - (at & 7)).astype(np.uint64)
-    size = int(at[-1] + bits[-1] + 7) // 8 if len(ids) else 0
-    out = np.zeros(size + 4, np.int64)
-    for k in range(4):  # bits of different codes don't overlap, so sums are unions
-        out += np.bincount((at >> 3) + k, (placed >> np.uint64(24 - 8 * k)) & np.uint64(255), size + 4).astype(np.int64)
-    return out[:size].astype(np.uint8).tobytes(), at[::LANE]
+    placed = codes[ids].astype(np.uint64) << (64 - bits - (at & 31)).astype(np.uint64)
+    word = at >> 5  # codes are shorter than a word, so one starts in every word
+    first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+    out = np.zeros(len(first) + 1, np.uint32)
+    out[:-1] = np.bitwise_or.reduceat(placed >> np.uint64(32), first)
+    out[1:] |= np.bitwise_or.reduceat(placed & np.uint64(0xFFFFFFFF), first).astype(np.uint32)
+    return out.astype(">u4").tobytes()[: int(at[-1] + bits[-1] + 7) // 8], at[::LANE]
 
 
 def decode_table(lengths: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
@@ -117,7 +126,7 @@ def decode_block(payload: bytes, lanes: np.ndarray, n: int, table: tuple[np.ndar
 
 
 def write_token_file(ids: DataFrame, path: str, limit: int = LIMIT) -> None:
-    """Writes ``ids`` (doc_id, ids) in ascending doc_id order to ``path``/blocks, and its codes to ``path``/codes.
+    """Writes ``ids`` (doc_id, ids, width) in ascending doc_id order to ``path``/blocks, and its codes to ``path``/codes.
 
     Null ids come first; rows of equal doc_id lie in the order of their ids' bytes. No rows make empty tables.
     """
@@ -125,15 +134,25 @@ def write_token_file(ids: DataFrame, path: str, limit: int = LIMIT) -> None:
 
     def count(rows: Iterator[tuple]) -> Iterator[tuple]:
         total = np.zeros(0, np.int64)
-        for (data,) in rows:
-            part = np.bincount(np.frombuffer(data, "<u4"))
+        held: list[np.ndarray] = []
+
+        def add() -> None:
+            nonlocal total
+            part = np.bincount(np.concatenate(held)) if held else np.zeros(0, np.int64)
             if len(part) > len(total):
                 total, part = part, total
             total[: len(part)] += part
+            held.clear()
+
+        for data, width in rows:
+            held.append(np.frombuffer(data, f"<u{width}"))
+            if len(held) == 500:
+                add()
+        add()
         yield from ((int(i), int(total[i])) for i in np.flatnonzero(total))
 
     # one row for each id of the vocabulary
-    counted = map_rows(ids.select("ids"), count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    counted = map_rows(ids.select("ids", "width"), count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(max([r["id"] + 1 for r in counted], default=0), np.int64)
     for r in counted:
         counts[r["id"]] = r["n"]
@@ -152,9 +171,9 @@ def write_token_file(ids: DataFrame, path: str, limit: int = LIMIT) -> None:
         doc_ids: list = []
         held: list[np.ndarray] = []
         total = 0
-        for doc_id, data in rows:
+        for doc_id, data, width in rows:
             doc_ids.append(doc_id)
-            held.append(np.frombuffer(data, "<u4"))
+            held.append(np.frombuffer(data, f"<u{width}"))
             total += len(held[-1])
             if total >= BLOCK_IDS:
                 yield part, number, start, total, doc_ids, [len(x) for x in held], *_block(held, codes, sizes)
@@ -173,33 +192,32 @@ def _block(held: list[np.ndarray], codes: np.ndarray, sizes: np.ndarray) -> tupl
 
 
 def read_token_file(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, start (ids of all documents before it) and ids (as ``token_ids`` has them), decoded from the file."""
+    """doc_id, start (ids of all documents before it) and ids (little-endian, 4 bytes each), decoded from the file."""
     prepare(spark)
     rows = spark.read.parquet(f"{path}/codes").collect()  # one for each id of the vocabulary
     lengths = np.zeros(max([r["id"] + 1 for r in rows], default=0), np.uint8)
     for r in rows:
         lengths[r["id"]] = r["bits"]
     limit = rows[0]["limit"] if rows else LIMIT
-    sent = spark.sparkContext.broadcast(lengths)
     stored = spark.read.parquet(f"{path}/blocks")
     id_type = stored.schema["doc_ids"].dataType.elementType.simpleString()
+    before, total = {}, 0  # one number for each part of the file
+    for r in sorted(stored.groupBy("part").agg(F.sum("n_ids").alias("n")).collect()):
+        before[r["part"]], total = total, total + r["n"]
+    sent = spark.sparkContext.broadcast((lengths, before))
 
     def decode(rows: Iterator[tuple]) -> Iterator[tuple]:
-        table = decode_table(sent.value, limit)
+        sizes_of, starts = sent.value
+        table = decode_table(sizes_of, limit)
         for part, start, n, doc_ids, sizes, lanes, payload in rows:
             ids = decode_block(payload, np.array(lanes, np.int64), n, table, limit)
-            at = 0
+            at, start = 0, start + starts[part]
             for doc_id, size in zip(doc_ids, sizes):
-                yield part, doc_id, start + at, ids[at : at + size].astype("<u4").tobytes()
+                yield doc_id, start + at, ids[at : at + size].astype("<u4").tobytes()
                 at += size
 
     coded = stored.select("part", "start_in_part", "n_ids", "doc_ids", "sizes", "lanes", "payload")
-    found = map_rows(coded, decode, f"part int, doc_id {id_type}, _start long, ids binary", 500)
-    # one row for each part of the file
-    parts = stored.groupBy("part").agg(F.sum("n_ids").alias("_n"))
-    before = F.sum("_n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    parts = parts.select("part", F.coalesce(before, F.lit(0)).alias("_before"))
-    return found.join(parts, "part").select("doc_id", (F.col("_start") + F.col("_before")).alias("start"), "ids")
+    return map_rows(coded, decode, f"doc_id {id_type}, start long, ids binary", 500)
 
 
 def encode_corpus(docs: DataFrame, tokenizer: str, path: str, end_id: int = 2) -> DataFrame:
