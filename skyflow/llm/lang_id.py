@@ -208,7 +208,7 @@ def fit(docs: DataFrame, vocabulary_path: str, rows: int = FIT_ROWS, rounds: int
     spark = prepare(docs.sparkSession)
     known = docs.where("lang is not null and doc_id is not null and text is not null").select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
     number = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    langs, pieces = sorted(number), vocabulary(vocabulary_path)
+    langs = sorted(number)
     share = F.lit(0)
     for lang in langs:
         share = F.when(F.col("lang") == lang, int(min(1, rows / number[lang]) * (1 << 30))).otherwise(share)
@@ -225,6 +225,9 @@ def fit(docs: DataFrame, vocabulary_path: str, rows: int = FIT_ROWS, rounds: int
     picked = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share).select("lang", "text")
     table = map_rows(picked, count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     table = written(table, "words")
+    # pieces with a character that no word has would get no probability; without them the trie is small
+    chars = {START} | {r[0] for r in table.select(F.explode(F.split("word", ""))).distinct().collect()}
+    pieces = [p for p in vocabulary(vocabulary_path) if chars.issuperset(p)]
     prob = np.full((len(pieces), len(langs)), 1 / max(1, len(pieces)))
     for _ in range(rounds if langs else 0):
         sent = spark.sparkContext.broadcast(prob)  # pieces x languages
