@@ -9,11 +9,9 @@ level by level, on arrays. ``t`` grows with the logarithm of the fingerprints, s
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -196,46 +194,3 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 3) -> DataFra
     least = by_print.groupBy("root").agg(F.min("least").alias("component_id"))
     named = by_print.select("fingerprint", "root").join(least, "root").select("fingerprint", "component_id")
     return prints.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
-
-
-def shingles(text: str | None, words: int) -> list[int]:
-    """Distinct 64-bit hashes of the word shingles, words as for ``fingerprint``."""
-    from xxhash import xxh3_64_intdigest
-
-    split = text.encode().lower().split() if text else []
-    parts = zip(*(split[k:] for k in range(words))) if len(split) > words else [split] if split else []
-    return list({xxh3_64_intdigest(b" ".join(p)) - (1 << 63) for p in parts})
-
-
-def near_copies(docs: DataFrame, radius: int = 7, words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """doc_id and keep_id of every row that is grouped with another: near copies by shared word shingles.
-
-    Components of fingerprints within ``radius`` (of three-word shingles) are candidates. In each, the smallest doc_id
-    leads; rows whose sets of ``words``-word shingles share at least ``similarity`` of their union with the leader's
-    get it as keep_id, the others go on with a leader of their own. So a group costs as many comparisons as it has
-    rows and leaders, no two leaders of a component are similar, and every row has one (itself at least). Texts
-    without words are alike. Rows of one doc_id with different texts are compared each. Null ids lead first.
-    """
-    prepare(docs.sparkSession)
-    found = near_duplicates(docs, 3, radius).select("doc_id", "component_id")
-    found = written(found, "candidates")
-    shared = found.groupBy("component_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("component_id").alias("root"))
-    members = found.join(shared, F.col("component_id").eqNullSafe(F.col("root"))).select(F.col("doc_id").alias("_id"), "root").distinct()
-
-    @F.pandas_udf("array<long>")
-    def sets(texts: pd.Series) -> pd.Series:
-        return pd.Series([shingles(t, words) for t in texts])
-
-    rest = docs.select("doc_id", "text").join(members, F.col("doc_id").eqNullSafe(F.col("_id")))
-    rest = written(rest.select("doc_id", "root", sets("text").alias("set")), "members")
-    leaders = []
-    while not rest.isEmpty():
-        first = rest.groupBy("root").agg(F.min(F.struct("doc_id", "set")).alias("first"))
-        first = first.select(F.col("root").alias("_root"), F.col("first.doc_id").alias("keep_id"), F.col("first.set").alias("_set"))
-        both = F.size(F.array_intersect("set", "_set"))
-        either = F.size("set") + F.size("_set") - both
-        judged = rest.join(first, F.col("root").eqNullSafe(F.col("_root")))
-        judged = written(judged.select("doc_id", "root", "keep_id", "set", ((either == 0) | (both >= similarity * either)).alias("alike")), "judged")
-        leaders.append(judged.where("alike").select("doc_id", "keep_id"))
-        rest = judged.where("not alike").select("doc_id", "root", "set")
-    return reduce(DataFrame.union, leaders) if leaders else found.select("doc_id", F.col("component_id").alias("keep_id")).limit(0)
