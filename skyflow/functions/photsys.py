@@ -25,6 +25,9 @@ def flux_ratio(delta_zp: Column | str) -> Column:
     return F.bround(F.pow(F.lit(10.0), _col(delta_zp) / 2.5), 4)
 
 
+# Fixed values in the functions below: the published colour terms between the photometric systems.
+
+
 def vega_to_ab(df: DataFrame) -> DataFrame:
     """Survey magnitudes ``bmag vmag gmag rmag_ab imag_ab`` style columns to the AB set.
 

@@ -50,11 +50,15 @@ def to_world(df: DataFrame, x: str, y: str, wcs: str = "wcs", ra: str = "ra", de
 
 
 def to_pixel(df: DataFrame, ra: str, dec: str, wcs: str = "wcs", x: str = "x", y: str = "y") -> DataFrame:
-    """Add pixel coordinates; the polynomial is inverted by fixed-point steps."""
+    """Add pixel coordinates; the polynomial is inverted by fixed-point steps.
+
+    Points on or behind the plane through the sphere's centre have no place on the tangent plane: null.
+    """
     w = F.col(wcs)
     d, d0 = F.radians(F.col(dec)), F.radians(w["crval2"])
     da = F.radians(F.col(ra) - w["crval1"])
     cosc = F.sin(d) * F.sin(d0) + F.cos(d) * F.cos(d0) * F.cos(da)
+    cosc = F.when(cosc > 0, cosc)
     out = df.withColumns(
         {
             "_xi": F.degrees(F.cos(d) * F.sin(da) / cosc),

@@ -328,13 +328,15 @@ def scaled_saturation(
 
 
 def tile_image(pixels: DataFrame, shape_x: int, shape_y: int, div_col: int, div_row: int) -> DataFrame:
-    """Sector columns and sector-local coordinates; a remainder beyond the last full sector is dropped."""
+    """Sector columns and sector-local coordinates; the last sector also has the remainder beyond it."""
     step_x, step_y = shape_x // div_col, shape_y // div_row
     return (
         pixels.withColumns(
-            {"sect_x": F.floor(F.col("x") / step_x).cast("int"), "sect_y": F.floor(F.col("y") / step_y).cast("int")}
+            {
+                "sect_x": F.least(F.floor(F.col("x") / step_x), F.lit(div_col - 1)).cast("int"),
+                "sect_y": F.least(F.floor(F.col("y") / step_y), F.lit(div_row - 1)).cast("int"),
+            }
         )
-        .where((F.col("sect_x") < div_col) & (F.col("sect_y") < div_row))
         .withColumns(
             {
                 "tile": F.col("sect_x") * div_col + F.col("sect_y"),
@@ -346,15 +348,15 @@ def tile_image(pixels: DataFrame, shape_x: int, shape_y: int, div_col: int, div_
 
 
 def difference(science: DataFrame, reference: DataFrame, mask: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Science minus reference on aligned pixels; masked pixels take the null value.
+    """Science minus reference on aligned pixels; masked pixels and those without a reference take the null value.
 
     The sign is always science minus reference, whichever side was convolved.
     """
     on = [*keys, "x", "y"]
     ref = reference.select(*on, F.col("value").alias("_ref"))
     flagged = mask.where(F.col("code") != 0).select(*on, F.lit(True).alias("_masked"))
-    joined = science.select(*on, "value").join(ref, on).join(flagged, on, "left")
-    value = F.when(F.col("_masked"), F.lit(NULL_PIXEL)).otherwise(F.col("value") - F.col("_ref"))
+    joined = science.select(*on, "value").join(ref, on, "left").join(flagged, on, "left")
+    value = F.when(F.col("_masked") | F.col("_ref").isNull(), F.lit(NULL_PIXEL)).otherwise(F.col("value") - F.col("_ref"))
     return joined.select(*on, value.alias("value"))
 
 

@@ -466,10 +466,10 @@ def depth_from_errors(spark, d):
 @query(
     "depth_from_sky__A19",
     using("pixels") + """select frame_id, round(zp,6) as zp, round(sig,6) as sky_sigma, round_even(zp-2.5e0*log10(5*sig*sqrt(pi()*pow(12.5e0/2,2))),3) as depth
-from (select frame_id, 29.5e0+frame_id/100 as zp, median(value-200) as sig from pixels where value-200<>0 and value>200 group by frame_id)""",
+from (select frame_id, 29.5e0+frame_id/100 as zp, median(abs(value-200)) as sig from pixels where value<>200 group by frame_id)""",
 )
 def depth_from_sky(spark, d):
-    p = view(spark, "pixels", d).where("value > 200").withColumn("value", F.col("value") - 200)
+    p = view(spark, "pixels", d).withColumn("value", F.abs(F.col("value") - 200))
     zp = p.select("frame_id").distinct().withColumn("zp", F.lit(29.5) + F.col("frame_id") / 100)
     out = ph.depth_from_sky(p, zp, ["frame_id"])
     return out.select("frame_id", F.round("zp", 6).alias("zp"), F.round("sky_sigma", 6).alias("sky_sigma"), "depth")

@@ -192,7 +192,7 @@ def coadd(spark, d):
 
 @query(
     "tile_image__X12",
-    using("pixels") + """select frame_id, x, y, cast(x//16*4+y//31 as int) as tile, cast(x%16 as int) as x_tile, cast(y%31 as int) as y_tile from pixels where y<124""",
+    using("pixels") + """select frame_id, x, y, cast(least(x//16,3)*4+least(y//31,3) as int) as tile, cast(x-16*least(x//16,3) as int) as x_tile, cast(y-31*least(y//31,3) as int) as y_tile from pixels""",
 )
 def tile_image(spark, d):
     t = px.tile_image(view(spark, "pixels", d), 64, 125, 4, 4)
@@ -201,8 +201,8 @@ def tile_image(spark, d):
 
 @query(
     "difference_image__X13",
-    using("pixels") + """select s.frame_id, s.x, s.y, round(case when r.value>380 then 1e-30 else s.value-r.value end,5) as value
-from pixels s join pixels r on s.frame_id=r.frame_id-1 and s.x=r.x and s.y=r.y""",
+    using("pixels") + """select s.frame_id, s.x, s.y, round(case when r.value is null or r.value>380 then 1e-30 else s.value-r.value end,5) as value
+from pixels s left join pixels r on s.frame_id=r.frame_id-1 and s.x=r.x and s.y=r.y""",
 )
 def difference_image(spark, d):
     p = view(spark, "pixels", d)
