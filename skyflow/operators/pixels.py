@@ -56,11 +56,22 @@ def strips_to_pixels(strips: DataFrame, keys: Sequence[str], width: int = AMP_WI
 
 
 def pixels_to_strips(pixels: DataFrame, keys: Sequence[str], width: int = AMP_WIDTH) -> DataFrame:
-    """Strip form of long pixels (at most ``width`` values per row)."""
+    """Strip form of long pixels (at most ``width`` values per row); absent pixels before the last one are null."""
+    slot = F.pmod(F.col("x"), F.lit(width)).cast("int")
     packed = pixels.groupBy(*keys, F.floor(F.col("x") / width).cast("int").alias("amp"), "y").agg(
-        F.array_sort(F.collect_list(F.struct("x", "value"))).alias("_p")
+        F.array_sort(F.collect_list(F.struct(slot.alias("k"), F.col("value").alias("v")))).alias("_p")
     )
-    return packed.select(*keys, "amp", "y", F.col("_p.value").alias("values"))
+    return packed.select(*keys, "amp", "y", _placed("_p", F.lit(None).cast("double")).alias("values"))
+
+
+def _placed(pixels: str, gap: Column) -> Column:
+    """Values of sorted ``(k, v)`` at their places ``k``, with ``gap`` before and between them; linear in the places."""
+    before = F.concat(F.array(F.lit(-1)), F.transform(pixels, lambda e: e["k"]))
+    pieces = F.zip_with(
+        F.col(pixels), F.slice(before, 1, F.size(pixels)),
+        lambda e, p: F.concat(F.array_repeat(gap, e["k"] - p - 1), F.array(e["v"].cast("double"))),
+    )
+    return F.flatten(pieces)
 
 
 def invert(pixels: DataFrame) -> DataFrame:
@@ -275,12 +286,13 @@ def background_map(pixels: DataFrame, keys: Sequence[str], mesh: int = MESH) ->
 
 
 def subtract_background(pixels: DataFrame, background: DataFrame, keys: Sequence[str], mesh: int = MESH) -> DataFrame:
+    """Pixels less the background of their mesh cell; null in cells without one."""
     keys = list(keys)
     placed = pixels.withColumns(
         {"mx": F.floor(F.col("x") / mesh).cast("int"), "my": F.floor(F.col("y") / mesh).cast("int")}
     )
     return (
-        placed.join(background.select(*keys, "mx", "my", "background"), keys + ["mx", "my"])
+        placed.join(background.select(*keys, "mx", "my", "background"), keys + ["mx", "my"], "left")
         .withColumn("value", F.col("value") - F.col("background"))
         .drop("mx", "my", "background")
     )
@@ -444,7 +456,9 @@ def cutouts(
     candidates: DataFrame, images: DataFrame, keys: Sequence[str], size: int, ident: str = "number",
     x: str = "x_image", y: str = "y_image", cell: int = MESH,
 ) -> DataFrame:
-    """Square stamps ``size x size`` (row-major, zero padded) per candidate and image ``kind``.
+    """Square stamps ``size x size`` (row-major, zero padded) and covered pixels per candidate and image ``kind``.
+
+    A candidate without a pixel in a kind has a stamp of zeros there, and ``covered`` 0.
 
     ``images`` is the long pixel form with a ``kind`` column (new, ref, sub).
     """
@@ -454,22 +468,17 @@ def cutouts(
         *keys, ident, low[0].cast("int").alias("x0"), low[1].cast("int").alias("y0")
     ).withColumns({"x1": F.col("x0") + size, "y1": F.col("y0") + size})
     kinds = images.select(*keys, "kind", "x", "y", "value")
-    inside = box_pixels(
-        boxes.withColumn("kind", F.explode(F.array(*[F.lit(k) for k in ("new", "ref", "sub")]))),
-        kinds, keys + ["kind"], [ident], cell,
-    )
+    wanted = boxes.withColumn("kind", F.explode(F.array(*[F.lit(k) for k in ("new", "ref", "sub")])))
+    inside = box_pixels(wanted, kinds, keys + ["kind"], [ident], cell)
     slot = (F.col("_py") - F.col("y0")) * size + (F.col("_px") - F.col("x0"))
     listed = inside.groupBy(*keys, ident, "kind").agg(
         F.array_sort(F.collect_list(F.struct(slot.alias("k"), F.col("value").alias("v")))).alias("_l")
     )
-    # zeros for the gap before each pixel, then the pixel: linear in the stamp size
-    before = F.concat(F.array(F.lit(-1)), F.transform("_l", lambda e: e["k"]))
-    pieces = F.zip_with(
-        F.col("_l"), F.slice(before, 1, F.size("_l")),
-        lambda e, p: F.concat(F.array_repeat(F.lit(0.0), e["k"] - p - 1), F.array(e["v"])),
-    )
     tail = F.array_repeat(F.lit(0.0), size * size - 1 - F.element_at("_l", -1)["k"])
-    return listed.select(*keys, ident, "kind", F.concat(F.flatten(pieces), tail).alias("stamp"))
+    stamps = listed.select(*keys, ident, "kind", F.concat(_placed("_l", F.lit(0.0)), tail).alias("stamp"), F.size("_l").alias("covered"))
+    every = wanted.select(*keys, ident, "kind").join(stamps, [*keys, ident, "kind"], "left")
+    stamp = F.coalesce("stamp", F.array_repeat(F.lit(0.0), size * size))
+    return every.select(*keys, ident, "kind", stamp.alias("stamp"), F.coalesce("covered", F.lit(0)).alias("covered"))
 
 
 def reference_coverage(candidates: DataFrame, wcs: DataFrame, keys: Sequence[str], out: str = "flag_12") -> DataFrame:

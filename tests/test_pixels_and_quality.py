@@ -146,3 +146,32 @@ def test_polynomial_scaling_of_strips(spark):
     f = spark.createDataFrame([(1, 0, False), (1, 1, True)], "frame_id int, amp int, bad boolean").withColumns({**zero, "c_one": F.lit(-27.5)})
     got = {r["amp"]: r["values"] for r in px.scale_zero_point(s, f, ["frame_id"], "2DPOLYNOMIAL", 2).collect()}
     assert got == {0: [10.0, 20.0], 1: [1.0, 2.0]}
+
+
+def test_strips_place_by_x_and_stamps_are_never_lost(spark):
+    p = spark.createDataFrame([(1, 3, 0, 7.0), (1, 1, 0, 5.0), (1, 10, 0, 9.0)], "frame_id int, x int, y int, value double")
+    strips = {r["amp"]: r["values"] for r in px.pixels_to_strips(p, ["frame_id"], 8).collect()}
+    assert strips == {0: [None, 5.0, None, 7.0], 1: [None, None, 9.0]}
+    assert {(r["x"], r["value"]) for r in px.strips_to_pixels(px.pixels_to_strips(p, ["frame_id"], 8), ["frame_id"], 8).where("value is not null").collect()} == {(1, 5.0), (3, 7.0), (10, 9.0)}
+    c = spark.createDataFrame([(1, 1, 3.0, 0.0), (1, 2, 500.0, 500.0)], "frame_id int, number int, x_image double, y_image double")
+    stamps = px.cutouts(c, p.withColumn("kind", F.lit("new")), ["frame_id"], 3, cell=2).collect()
+    assert len(stamps) == 6 and all(len(r["stamp"]) == 9 for r in stamps)
+    assert {(r["number"], r["kind"]) for r in stamps if r["covered"]} == {(1, "new")}
+
+
+def test_difference_keeps_uncovered_pixels_and_tiles_keep_the_rest(spark):
+    p = spark.createDataFrame([(1, 0, 0, 7.0), (1, 9, 9, 5.0)], "frame_id int, x int, y int, value double")
+    none = p.limit(0).select("frame_id", "x", "y", F.lit(1).alias("code"))
+    got = {r["x"]: r["value"] for r in px.difference(p, p.where("x = 0"), none, ["frame_id"]).collect()}
+    assert got == {0: 0.0, 9: px.NULL_PIXEL}
+    assert {(r["x"], r["tile"], r["x_tile"], r["y_tile"]) for r in px.tile_image(p, 10, 10, 3, 3).collect()} == {(0, 0, 0, 0), (9, 8, 3, 3)}
+
+
+def test_no_pixel_behind_the_tangent_plane(spark):
+    arr = lambda v: F.array(*[F.lit(x) for x in v])
+    sol = F.struct(
+        *[F.lit(v).alias(k) for k, v in {"crpix1": 1.0, "crpix2": 1.0, "crval1": 10.0, "crval2": 0.0, "cd1_1": 1e-4, "cd1_2": 0.0, "cd2_1": 0.0, "cd2_2": 1e-4}.items()],
+        arr(PV1).alias("pv1"), arr(PV2).alias("pv2"),
+    )
+    r = wcs_fn.to_pixel(spark.createDataFrame([(190.0, 0.0)], "ra double, dec double").withColumn("wcs", sol), "ra", "dec").first()
+    assert r["x"] is None and r["y"] is None
