@@ -71,7 +71,7 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def _clip_values(v: np.ndarray, sigma: float, maxiters: int | None) -> tuple[float, float, int]:
+def clip_values(v: np.ndarray, sigma: float, maxiters: int | None) -> tuple[float, float, int]:
     """Kept interval of a block of values and the number of passes that removed something."""
     v = np.sort(v)
     passes = 0
@@ -127,7 +127,7 @@ def clip_bounds(
     )
 
     def one_group(key: tuple, block: pd.DataFrame) -> pd.DataFrame:
-        lo, hi, passes = _clip_values(block["_v"].to_numpy(), sigma, maxiters)
+        lo, hi, passes = clip_values(block["_v"].to_numpy(), sigma, maxiters)
         return pd.DataFrame([[*key, lo, hi, passes]], columns=schema.names)
 
     bounds = small.groupBy(*keys).applyInPandas(one_group, schema)
@@ -222,7 +222,7 @@ def clip_summary(
 
     def one_group(key: tuple, block: pd.DataFrame) -> pd.DataFrame:
         v = block["_v"].to_numpy()
-        lo, hi, _ = _clip_values(v, sigma, maxiters)
+        lo, hi, _ = clip_values(v, sigma, maxiters)
         k = v[(v >= lo) & (v <= hi)]
         row = [*key, v.size, k.size, k.mean(), np.median(k), k.std(), np.sqrt(np.mean(k * k))]
         return pd.DataFrame([row], columns=schema.names)

@@ -61,10 +61,10 @@ def pixels_to_strips(pixels: DataFrame, keys: Sequence[str], width: int = AMP_WI
     packed = pixels.groupBy(*keys, F.floor(F.col("x") / width).cast("int").alias("amp"), "y").agg(
         F.array_sort(F.collect_list(F.struct(slot.alias("k"), F.col("value").alias("v")))).alias("_p")
     )
-    return packed.select(*keys, "amp", "y", _placed("_p", F.lit(None).cast("double")).alias("values"))
+    return packed.select(*keys, "amp", "y", place_values("_p", F.lit(None).cast("double")).alias("values"))
 
 
-def _placed(pixels: str, gap: Column) -> Column:
+def place_values(pixels: str, gap: Column) -> Column:
     """Values of sorted ``(k, v)`` at their places ``k``, with ``gap`` before and between them; linear in the places."""
     before = F.concat(F.array(F.lit(-1)), F.transform(pixels, lambda e: e["k"]))
     pieces = F.zip_with(
@@ -277,7 +277,13 @@ def background_map(pixels: DataFrame, keys: Sequence[str], mesh: int = MESH) ->
     placed = pixels.select(
         *keys, F.floor(F.col("x") / mesh).cast("int").alias("mx"), F.floor(F.col("y") / mesh).cast("int").alias("my"), "value"
     )
-    raw = clip_summary(placed, cell, "value", 3.0, maxiters=5).select(*cell, F.col("median").alias("raw"))
+    return smooth_cells(clip_summary(placed, cell, "value", 3.0, maxiters=5).select(*cell, F.col("median").alias("raw")), keys)
+
+
+def smooth_cells(raw: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Median of each mesh cell and its neighbours: ``raw`` -> ``background``."""
+    keys = list(keys)
+    cell = keys + ["mx", "my"]
     near = F.array(*[F.lit(d) for d in (-1, 0, 1)])
     spread = raw.withColumn("_dx", F.explode(near)).withColumn("_dy", F.explode(near))
     spread = spread.select(*keys, (F.col("mx") + F.col("_dx")).alias("mx"), (F.col("my") + F.col("_dy")).alias("my"), "raw")
@@ -421,25 +427,29 @@ def box_pixels(boxes: DataFrame, pixels: DataFrame, keys: Sequence[str], ident:
     )
 
 
-def pixel_stats(
-    candidates: DataFrame, pixels: DataFrame, keys: Sequence[str], ident: str = "number", half: Column | None = None, cell: int = 16
-) -> DataFrame:
-    """Per candidate box: ``n_box, n_bad, ratio_bad, n_null``.
-
-    The box reaches the seeing (px) on each side; bad means below
-    ``background - 25 sky_sigma``, null is the differencing null value.
-    """
-    keys = list(keys)
+def stat_boxes(candidates: DataFrame, keys: Sequence[str], ident: str, half: Column | None = None) -> DataFrame:
+    """Box of each candidate, the seeing (px) on each side, and the value ``_cut`` below which a pixel is bad."""
     half = half if half is not None else F.col("seeing") / 0.4
 
     def at(c: Column) -> Column:
         return F.greatest(F.lit(0), F.floor(c)).cast("int")
 
-    boxes = candidates.select(
+    return candidates.select(
         *keys, ident, (F.col("background") - 25.0 * F.col("sky_sigma")).alias("_cut"),
         at(F.col("x_image") - half).alias("x0"), at(F.col("x_image") + half).alias("x1"),
         at(F.col("y_image") - half).alias("y0"), at(F.col("y_image") + half).alias("y1"),
     ).distinct()
+
+
+def pixel_stats(
+    candidates: DataFrame, pixels: DataFrame, keys: Sequence[str], ident: str = "number", half: Column | None = None, cell: int = 16
+) -> DataFrame:
+    """Per candidate box: ``n_box, n_bad, ratio_bad, n_null``.
+
+    Bad means below ``background - 25 sky_sigma``, null is the differencing null value.
+    """
+    keys = list(keys)
+    boxes = stat_boxes(candidates, keys, ident, half)
     inside = box_pixels(boxes, pixels, keys, [ident], cell)
     stats = inside.groupBy(*keys, ident, "x0", "y0").agg(
         F.count("*").alias("n_box"),
@@ -475,7 +485,7 @@ def cutouts(
         F.array_sort(F.collect_list(F.struct(slot.alias("k"), F.col("value").alias("v")))).alias("_l")
     )
     tail = F.array_repeat(F.lit(0.0), size * size - 1 - F.element_at("_l", -1)["k"])
-    stamps = listed.select(*keys, ident, "kind", F.concat(_placed("_l", F.lit(0.0)), tail).alias("stamp"), F.size("_l").alias("covered"))
+    stamps = listed.select(*keys, ident, "kind", F.concat(place_values("_l", F.lit(0.0)), tail).alias("stamp"), F.size("_l").alias("covered"))
     every = wanted.select(*keys, ident, "kind").join(stamps, [*keys, ident, "kind"], "left")
     stamp = F.coalesce("stamp", F.array_repeat(F.lit(0.0), size * size))
     return every.select(*keys, ident, "kind", stamp.alias("stamp"), F.coalesce("covered", F.lit(0)).alias("covered"))

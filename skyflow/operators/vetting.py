@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from skyflow.operators.clip import exact_median
 from skyflow.operators.match import attach, moving_object_flag, sky_nearest
 from skyflow.operators.photometry import background_stats
+from skyflow.operators import strips as sp
 from skyflow.operators.pixels import pixel_stats, reference_coverage
 from skyflow.operators.selection import candidate_columns
 
@@ -101,8 +102,9 @@ def flag_9(df: DataFrame) -> DataFrame:
 
 
 def flags_10_11(df: DataFrame, pixels: DataFrame, keys: Sequence[str], ident: str = "number", **kw) -> DataFrame:
-    """Dipole (more than 10 % deep-negative box pixels) and null pixels in the box."""
-    stats = pixel_stats(df, pixels, keys, ident, **kw)
+    """Dipole (more than 10 % deep-negative box pixels) and null pixels in the box; ``pixels`` as strips or long."""
+    of_boxes = sp.pixel_stats if "values" in pixels.columns else pixel_stats
+    stats = of_boxes(df, pixels, keys, ident, **kw)
     joined = df.join(stats, [*keys, ident], "left")
     return joined.withColumns(
         {"flag_10": F.col("n_bad") > F.col("n_box") * BAD_FRACTION, "flag_11": F.col("n_null") != 0}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from skyflow.functions.wcs import tan_struct
-from skyflow.operators import pixels as px, stacking as st
+from skyflow.operators import pixels as px, stacking as st, strips as sp
 from workload.sqlkit import clip as clip_sql, match, query, using
 from workload.views import table_of, view
 
@@ -97,9 +97,8 @@ _MESH = """pm as (select frame_id, x//16 as mx, y//16 as my, value from pixels),
     using("pixels", ctes=_MESH) + "select frame_id, x, y, round(value-background,5) as value from (select *, x//16 as mx, y//16 as my from pixels) join bg using (frame_id, mx, my)",
 )
 def background_map(spark, d):
-    p = view(spark, "pixels", d)
-    b = px.background_map(p, K, 16)
-    return px.subtract_background(p, b, K, 16).select("frame_id", "x", "y", F.round("value", 5).alias("value"))
+    s = view(spark, "strips", d)
+    return _long(sp.subtract_background(s, sp.background_map(s, K, 16, WIDTH), K, 16, WIDTH))
 
 
 _FITS = """fit as (select frame_id, amp, regr_slope(value,y)/1000 as slope, -30+avg(value)/1000 as intercept, amp=3 as bad from pixels group by frame_id, amp)"""
@@ -195,8 +194,10 @@ def coadd(spark, d):
     using("pixels") + """select frame_id, x, y, cast(least(x//16,3)*4+least(y//31,3) as int) as tile, cast(x-16*least(x//16,3) as int) as x_tile, cast(y-31*least(y//31,3) as int) as y_tile from pixels""",
 )
 def tile_image(spark, d):
-    t = px.tile_image(view(spark, "pixels", d), 64, 125, 4, 4)
-    return t.select("frame_id", "x", "y", "tile", "x_tile", "y_tile")
+    t = sp.tile_strips(view(spark, "strips", d), 64, 125, 4, 4, WIDTH)
+    t = t.select("frame_id", "sect_x", "y", "tile", "x_tile", "y_tile", F.posexplode("values").alias("i", "value"))
+    x_tile = F.col("x_tile") + F.col("i")
+    return t.select("frame_id", (F.col("sect_x") * 16 + x_tile).alias("x"), "y", "tile", x_tile.alias("x_tile"), "y_tile")
 
 
 @query(
@@ -205,10 +206,10 @@ def tile_image(spark, d):
 from pixels s left join pixels r on s.frame_id=r.frame_id-1 and s.x=r.x and s.y=r.y""",
 )
 def difference_image(spark, d):
-    p = view(spark, "pixels", d)
-    ref = p.withColumn("frame_id", F.col("frame_id") - 1)
-    mask = ref.where(F.col("value") > HOT).select("frame_id", "x", "y", F.lit(1).alias("code"))
-    return px.difference(p, ref, mask, K).withColumn("value", F.round("value", 5))
+    shift = {"frame_id": F.col("frame_id") - 1}
+    mask = view(spark, "pixels", d).where(F.col("value") > HOT).withColumns(shift).select("frame_id", "x", "y", F.lit(1).alias("code"))
+    s = view(spark, "strips", d)
+    return _long(sp.difference(s, s.withColumns(shift), mask, K, WIDTH))
 
 
 @query(
@@ -257,8 +258,8 @@ def _boxes(spark, d):
 
 
 def _box_pixels(spark, d):
-    """Difference pixels with some null values."""
-    return view(spark, "pixels", d).withColumn("value", F.when(F.col("value") > HOT, F.lit(1e-30)).otherwise(F.col("value")))
+    """Difference strips with some null values."""
+    return view(spark, "strips", d).withColumn("values", F.transform("values", lambda v: F.when(v > HOT, F.lit(1e-30)).otherwise(v)))
 
 
 @query(
@@ -276,7 +277,7 @@ def pixel_stats(spark, d):
     from skyflow.operators.vetting import flags_10_11
 
     c = _boxes(spark, d)
-    out = flags_10_11(c, _box_pixels(spark, d), K, half=F.lit(3.7), cell=8)
+    out = flags_10_11(c, _box_pixels(spark, d), K, half=F.lit(3.7), width=WIDTH)
     return out.select("number", "n_box", "n_bad", "n_null", F.round("ratio_bad", 6).alias("ratio_bad"), "flag_10", "flag_11")
 
 
@@ -300,12 +301,12 @@ def background_stats(spark, d):
  group by number, kind""",
 )
 def cutouts(spark, d):
-    p = view(spark, "pixels", d)
+    factor = F.when(F.col("kind") == "ref", 2).when(F.col("kind") == "sub", -1).otherwise(1)
     images = (
-        p.withColumn("kind", F.explode(F.array(F.lit("new"), F.lit("ref"), F.lit("sub"))))
-        .withColumn("value", F.col("value") * F.when(F.col("kind") == "ref", 2).when(F.col("kind") == "sub", -1).otherwise(1))
+        view(spark, "strips", d).withColumn("kind", F.explode(F.array(F.lit("new"), F.lit("ref"), F.lit("sub"))))
+        .withColumn("values", F.transform("values", lambda v: v * factor))
     )
-    c = px.cutouts(_boxes(spark, d), images, K, 5, cell=16)
+    c = sp.cutouts(_boxes(spark, d), images, K, 5, width=WIDTH)
     weighted = F.aggregate(F.transform("stamp", lambda v, i: v * (i + 1)), F.lit(0.0), lambda a, b: a + b)
     inside = F.size(F.filter("stamp", lambda v: v != 0)).cast("long")
     return c.select("number", "kind", F.round(weighted, 4).alias("checksum"), inside.alias("n_inside"))
