@@ -75,12 +75,13 @@ def to_pixel(df: DataFrame, ra: str, dec: str, wcs: str = "wcs", x: str = "x", y
             }
         )
     det = w["cd1_1"] * w["cd2_2"] - w["cd1_2"] * w["cd2_1"]
-    return out.withColumns(
-        {
-            x: w["crpix1"] + (w["cd2_2"] * F.col("_u") - w["cd1_2"] * F.col("_v")) / det,
-            y: w["crpix2"] + (w["cd1_1"] * F.col("_v") - w["cd2_1"] * F.col("_u")) / det,
-        }
-    ).drop("_u", "_v", "_xi", "_eta")
+    place = F.struct(
+        (w["crpix1"] + (w["cd2_2"] * F.col("_u") - w["cd1_2"] * F.col("_v")) / det).alias("x"),
+        (w["crpix2"] + (w["cd1_1"] * F.col("_v") - w["cd2_1"] * F.col("_u")) / det).alias("y"),
+    )
+    # a generator is not inlined: a later filter on the pixel would otherwise repeat every step in each use of the one before
+    out = out.withColumn("_place", F.explode(F.array(place)))
+    return out.withColumns({x: F.col("_place.x"), y: F.col("_place.y")}).drop("_u", "_v", "_xi", "_eta", "_place")
 
 
 def tan_world(df: DataFrame, x: str, y: str, ra0: Column, dec0: Column, scale: float, ra: str, dec: str) -> DataFrame:

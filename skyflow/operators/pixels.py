@@ -26,6 +26,7 @@ CROSSTALK_LIMIT, BLEED_LIMIT = 56000.0, 52000.0
 BAD_AMP_CODE, BLEED_CODE = 4, 8
 BLEED_NEAR, BLEED_FAR, BLEED_EXCESS, BLEED_SIGMA, BLEED_STOP = 20, 40, 3000.0, 1.5, 5
 BLEED_DOWN = ["kk", "nn"]
+DEAD_AMP_SITE, DEAD_AMP_CHIP = "CTIO", "nn"
 NULL_PIXEL = 1e-30
 MESH = 256
 SATURATION = 60000.0

@@ -175,3 +175,11 @@ def test_no_pixel_behind_the_tangent_plane(spark):
     )
     r = wcs_fn.to_pixel(spark.createDataFrame([(190.0, 0.0)], "ra double, dec double").withColumn("wcs", sol), "ra", "dec").first()
     assert r["x"] is None and r["y"] is None
+
+
+def test_filter_on_a_projected_pixel_stays_small(spark):
+    sol = wcs_fn.tan_struct(F.lit(10.0), F.lit(0.0), 0.4 / 3600, 50.0)
+    sky = spark.createDataFrame([(10.0, 0.0), (10.1, 0.0)], "ra double, dec double").withColumn("wcs", sol)
+    near = wcs_fn.to_pixel(sky, "ra", "dec").where("abs(x) < 100 or abs(y) < 10")
+    assert len(near._jdf.queryExecution().optimizedPlan().toString()) < 100_000
+    assert [round(r["x"], 6) for r in near.collect()] == [50.0]

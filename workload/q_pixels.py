@@ -340,12 +340,12 @@ def cutouts(spark, d):
     return c.select("number", "kind", F.round(weighted, 4).alias("checksum"), inside.alias("n_inside"))
 
 
-_REF_XY = _to_tan("alpha_j2000", "delta_j2000", "121.5e0", "-29.5e0")
+REF_XY = _to_tan("alpha_j2000", "delta_j2000", "121.5e0", "-29.5e0")
 
 
 @query(
     "reference_coverage__X17_T12",
-    using("candidates", ctes=f"""t as (select number, chip, 4600-({_REF_XY[0]})/(0.4e0/3600) as x, 4600+({_REF_XY[1]})/(0.4e0/3600) as y from candidates)""")
+    using("candidates", ctes=f"""t as (select number, chip, 4600-({REF_XY[0]})/(0.4e0/3600) as x, 4600+({REF_XY[1]})/(0.4e0/3600) as y from candidates)""")
     + "select number, chip, round(x,3) as x_refim, round(y,3) as y_refim, x<0 or x>9216 or y<0 or y>9232 as flag_12 from t",
 )
 def reference_coverage(spark, d):

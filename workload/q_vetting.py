@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from skyflow.operators import vetting as vt
+from skyflow.functions.wcs import tan_struct
+from skyflow.operators import strips as sp, vetting as vt
+from workload.q_pixels import HOT, REF_XY, WIDTH
 from workload.sqlkit import match, query, sep, using
 from workload.views import view
 
@@ -21,19 +23,32 @@ def _near(name: str, table: str) -> str:
  from candidates c join {table} i on c.chip=i.chip group by c.number)"""
 
 
+# difference images: each small frame less the next one, 8 columns at the start of each amplifier of a chip, every 73rd row
+_DIFF = f"""df as materialized (select ['kk','mm','tt','nn'][s.frame_id%4+1] as chip, s.amp*1152+s.x%8 as x, (s.y+125*(s.frame_id//4))*73 as y,
+  case when r.value is null or r.value>{HOT} then 1e-30 else 20*s.value-20*r.value end as value
+  from pixels s left join pixels r on s.frame_id=r.frame_id-1 and s.x=r.x and s.y=r.y),
+ bx as (select number, chip, background-25*bs as cut, greatest(0,floor(x_image-seeing/0.4e0)) as x0, greatest(0,floor(x_image+seeing/0.4e0)) as x1,
+  cast(greatest(0,floor(y_image-seeing/0.4e0)) as int) as y0, cast(greatest(0,floor(y_image+seeing/0.4e0)) as int) as y1 from cc),
+ br as materialized (select number, chip, cut, x0, x1, unnest(range(y0,y1)) as y from bx),
+ hx as materialized (select number, count(*) as n_box, count(*) filter (where value<cut) as n_bad, count(*) filter (where value=1e-30) as n_null
+  from br join df using (chip, y) where x>=x0 and x<x1 group by number),
+ cov as (select number, 4600-({REF_XY[0]})/(0.4e0/3600) as x, 4600+({REF_XY[1]})/(0.4e0/3600) as y from candidates)"""
+
 _F0 = match("mo", "candidates", "ephemeris", 5.0, "object_id", rpos=("ra", "dec"), keys=["chip"])
 _ALL = (
-    _STATS + ",\n" + _near("n1", "inverse") + ",\n" + _near("n2", "inverse_ref") + ",\n" + _F0
+    _STATS + ",\n" + _DIFF + ",\n" + _near("n1", "inverse") + ",\n" + _near("n2", "inverse_ref") + ",\n" + _F0
     + """,
  fl as (select cc.number, cc.chip, mo.sep is not null as flag_0,
   coalesce(n1.b.s<seeing/2 or mag_cal-n1.b.m-30>-0.1e0,false) as flag_1, coalesce(n2.b.s<seeing/2 or mag_cal-n2.b.m-30>-0.5e0,false) as flag_2,
   cc.x_image<4608-4608*0.99e0 or cc.x_image>4608+4608*0.99e0 or cc.y_image<4616-4616*0.99e0 or cc.y_image>4616+4616*0.99e0 as flag_3,
   false as flag_4, re>4 as flag_5, cc.flags>=4 or cc.imaflags_iso>0 as flag_6, rs<0.7e0 or rs>2.4e0 as flag_7,
-  abs(cc.background-bm)>2*bs as flag_8, snr<5 as flag_9, false as flag_10, false as flag_11, false as flag_12, false as flag_13
-  from cc left join n1 using (number) left join n2 using (number) left join mo using (number)),
- fin as (select *, (flag_0 or flag_1 or flag_2 or flag_3 or flag_4 or flag_5 or flag_6 or flag_7 or flag_8 or flag_9) and not flag_0 as flag from fl)"""
+  abs(cc.background-bm)>2*bs as flag_8, snr<5 as flag_9, coalesce(n_bad>n_box*0.1e0,false) as flag_10, coalesce(n_null<>0,false) as flag_11,
+  cov.x<0 or cov.x>9216 or cov.y<0 or cov.y>9232 as flag_12, false as flag_13
+  from cc left join n1 using (number) left join n2 using (number) left join mo using (number) left join hx using (number) join cov using (number)),
+ fin as (select *, (flag_0 or flag_1 or flag_2 or flag_3 or flag_4 or flag_5 or flag_6 or flag_7 or flag_8 or flag_9
+  or flag_10 or flag_11 or flag_12) and not flag_0 as flag from fl)"""
 )
-_VIEWS = ("candidates", "inverse", "inverse_ref", "ephemeris")
+_VIEWS = ("candidates", "inverse", "inverse_ref", "ephemeris", "pixels")
 
 
 def _prepared(spark, d):
@@ -41,11 +56,25 @@ def _prepared(spark, d):
     return vt.prepare(c, c, K)
 
 
+def _differences(spark, d):
+    """Difference strips of each chip, masked where the reference is bright."""
+    s = view(spark, "strips", d).withColumn("values", F.transform("values", lambda v: 20 * v))
+    shift = {"frame_id": F.col("frame_id") - 1}
+    mask = view(spark, "pixels", d).where(F.col("value") > HOT).withColumns(shift).select("frame_id", "x", "y", F.lit(1).alias("code"))
+    out = sp.difference(s, s.withColumns(shift), mask, ["frame_id"], WIDTH)
+    chip = F.get(F.array(*[F.lit(c) for c in ("kk", "mm", "tt", "nn")]), (F.col("frame_id") % 4).cast("int"))
+    y = ((F.col("y") + 125 * F.expr("frame_id div 4")) * 73).cast("int")
+    return out.select(chip.alias("chip"), "amp", y.alias("y"), "values")
+
+
 def vetted(spark, d):
     c = view(spark, "candidates", d)
+    wcs = c.select("chip").distinct().select(
+        "chip", tan_struct(F.lit(121.5), F.lit(-29.5), 0.4 / 3600, 4600.0).alias("wcs"), F.lit(9216).alias("naxis1"), F.lit(9232).alias("naxis2")
+    )
     return vt.vet(
         c, c, K, inverse=view(spark, "inverse", d), inverse_ref=view(spark, "inverse_ref", d),
-        ephemeris=view(spark, "ephemeris", d), step=STEP, inverse_id="inv_id",
+        ephemeris=view(spark, "ephemeris", d), step=STEP, inverse_id="inv_id", pixels=_differences(spark, d), wcs=wcs,
     )
 
 
