@@ -61,6 +61,15 @@ def exact_median(df: DataFrame, keys: Sequence[str], col: str, out: str = "media
     return result.select(*keys, out)
 
 
+def exact_medians(df: DataFrame, keys: Sequence[str], columns: dict[str, Column]) -> DataFrame:
+    """Exact grouped medians of several values in one pass: ``keys`` and a column per name."""
+    keys = list(keys)
+    each = F.explode(F.array(*[F.struct(F.lit(n).alias("n"), c.cast("double").alias("v")) for n, c in columns.items()]))
+    long = df.select(*keys, each.alias("_e")).select(*keys, F.col("_e.n").alias("_name"), F.col("_e.v").alias("_value"))
+    found = exact_median(long, [*keys, "_name"], "_value", "_m")
+    return found.groupBy(*keys).agg(*[F.max(F.when(F.col("_name") == n, F.col("_m"))).alias(n) for n in columns])
+
+
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Equi-join that also pairs null keys with null keys."""
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})

@@ -10,10 +10,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from skyflow.operators.clip import exact_median
+from skyflow.operators.clip import exact_medians
+from skyflow.operators import strips as sp
 from skyflow.operators.match import attach, moving_object_flag, sky_nearest
 from skyflow.operators.photometry import background_stats
-from skyflow.operators import strips as sp
 from skyflow.operators.pixels import pixel_stats, reference_coverage
 from skyflow.operators.selection import candidate_columns
 
@@ -26,14 +26,10 @@ FLAGS = list(range(14))
 
 def image_stats(science: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Seeing (arcsec), median ellipticity and elongation of the science stars of an image."""
-    keys = list(keys)
-    out = None
-    for col, name, factor in (
-        ("fwhm_image", "seeing", 0.4), ("ellipticity", "med_ellipticity", 1.0), ("elongation", "med_elongation", 1.0)
-    ):
-        one = exact_median(science.withColumn("_m", F.col(col) * factor), keys, "_m", name)
-        out = one if out is None else out.join(one, keys)
-    return out
+    return exact_medians(
+        science, keys,
+        {"seeing": F.col("fwhm_image") * 0.4, "med_ellipticity": F.col("ellipticity"), "med_elongation": F.col("elongation")},
+    )
 
 
 def prepare(candidates: DataFrame, science: DataFrame, keys: Sequence[str]) -> DataFrame:

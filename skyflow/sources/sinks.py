@@ -17,9 +17,9 @@ DEFAULT_MAG = 16.0
 
 
 def write_table(df: DataFrame, path: str, partitions: Sequence[str] = ("obs_date", "site"), mode: str = "append") -> None:
-    """Parquet partitioned by night and site; each task writes few partitions."""
+    """Parquet partitioned by night and site; AQE splits a large night and merges small ones by their bytes."""
     cols = [c for c in partitions if c in df.columns]
-    writer = (df.repartition(*cols, F.pmod(F.xxhash64(*df.columns[:1]), F.lit(32))) if cols else df).write.mode(mode)
+    writer = (df.hint("rebalance", *cols) if cols else df).write.mode(mode)
     (writer.partitionBy(*cols) if cols else writer).parquet(path)
 
 
@@ -55,7 +55,8 @@ def region_lines(df: DataFrame, x: str, y: str, world: bool) -> DataFrame:
 
 
 def write_regions(df: DataFrame, path: str, x: str, y: str, world: bool) -> None:
-    region_lines(df, x, y, world).orderBy("ord").select("line").write.mode("overwrite").text(path)
+    # points are sorted by their text too, so that they spread over tasks behind the head
+    region_lines(df, x, y, world).orderBy("ord", "line").select("line").write.mode("overwrite").text(path)
 
 
 def quarantine_lines(df: DataFrame, reason: str = "reject_reason", name: str = "name") -> DataFrame:
