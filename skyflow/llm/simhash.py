@@ -139,10 +139,45 @@ class Union:
                 label[:] = label[label]
 
 
-def linked(prints: DataFrame, radius: int = 3) -> DataFrame:
+class ShortestLinks:
+    """A minimum spanning forest of the links added, by distance, then by place; links are held in bounded blocks."""
+
+    def __init__(self, value: np.ndarray, block: int = 2_000_000):
+        self.value, self.block, self.a, self.b = value, block, [], []
+
+    def add(self, a: np.ndarray, b: np.ndarray) -> None:
+        apart = a != b
+        self.a.append(np.minimum(a, b)[apart])
+        self.b.append(np.maximum(a, b)[apart])
+        if sum(map(len, self.a)) > self.block + len(self.value):
+            self.forest()
+
+    def forest(self) -> tuple[np.ndarray, np.ndarray]:
+        none = np.zeros(0, np.int64)
+        a, b = np.concatenate([none, *self.a]), np.concatenate([none, *self.b])
+        order = np.lexsort((b, a, np.bitwise_count(self.value[a] ^ self.value[b])))
+        a, b = a[order], b[order]
+        union, live, kept = Union(len(self.value)), np.arange(len(a)), [none]
+        while True:  # every set takes its first link to another set
+            x, y = union.label[a[live]], union.label[b[live]]
+            live, x, y = live[x != y], x[x != y], y[x != y]
+            if not len(live):
+                break
+            first = np.full(len(self.value), len(a))
+            np.minimum.at(first, x, live)
+            np.minimum.at(first, y, live)
+            kept.append(np.unique(first[first < len(a)]))
+            union.add(a[kept[-1]], b[kept[-1]])
+        kept = np.sort(np.concatenate(kept))
+        self.a, self.b = [a[kept]], [b[kept]]
+        return a[kept], b[kept]
+
+
+def linked(prints: DataFrame, radius: int = 3, shortest: bool = False) -> DataFrame:
     """Edges (a, b) between distinct fingerprints of ``prints`` that connect all those within ``radius``.
 
     Each task returns a spanning forest of the links that it finds, so near copies make no more edges than points.
+    With ``shortest`` every edge is itself a link, and the forest takes the shortest ones.
     """
     distinct = written(prints.select("fingerprint").distinct(), "prints")
     masks = [m - (1 << 64) if m >> 63 else m for m in shards(radius, distinct.count())]
@@ -171,16 +206,29 @@ def linked(prints: DataFrame, radius: int = 3) -> DataFrame:
         asks, value = asks[order], prints.view(np.uint64)
         new = np.r_[True, (shard[1:] != shard[:-1]) | (bits[1:] != bits[:-1]) | (part[1:] != part[:-1])]
         tree = np.cumsum(new) - 1
-        forest, union = Forest(tree, value), Union(len(value))
+        forest, links = Forest(tree, value), ShortestLinks(value) if shortest else Union(len(value))
         asking = np.flatnonzero(asks)
         for q, node in forest.search(value[asking], forest.root[tree[asking]], radius):
-            union.add(asking[q], node)
-        far = np.flatnonzero(union.label != np.arange(len(value)))
-        yield pa.RecordBatch.from_arrays([pa.array(prints[far]), pa.array(prints[union.label[far]])], names=["a", "b"])
+            links.add(asking[q], node)
+        if shortest:
+            a, b = links.forest()
+        else:
+            a = np.flatnonzero(links.label != np.arange(len(value)))
+            b = links.label[a]
+        yield pa.RecordBatch.from_arrays([pa.array(prints[a]), pa.array(prints[b])], names=["a", "b"])
 
     return spread.repartition("shard", "bits", "part").mapInArrow(find, "a long, b long").distinct()
 
 
+def grouped(prints: DataFrame, roots: DataFrame) -> DataFrame:
+    """doc_id, fingerprint and component_id of every row of ``prints``, for a table of fingerprint and root."""
+    by_print = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least")).join(roots, "fingerprint", "left")
+    by_print = by_print.withColumn("root", F.coalesce("root", "fingerprint"))
+    least = by_print.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = by_print.select("fingerprint", "root").join(least, "root").select("fingerprint", "component_id")
+    return prints.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
+
+
 def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 3) -> DataFrame:
     """doc_id, fingerprint (signed long) and component_id (smallest doc_id reachable over links) of every row.
 
@@ -188,9 +236,59 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 3) -> DataFra
     and are linked like any other. Null ids take part, but name a component only where it has no other.
     """
     prints = written(fingerprints(docs, words), "fingerprints")
-    roots = components(linked(prints, radius)).withColumnRenamed("node", "fingerprint")
-    by_print = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least")).join(roots, "fingerprint", "left")
-    by_print = by_print.withColumn("root", F.coalesce("root", "fingerprint"))
-    least = by_print.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = by_print.select("fingerprint", "root").join(least, "root").select("fingerprint", "component_id")
-    return prints.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    return grouped(prints, components(linked(prints, radius)).withColumnRenamed("node", "fingerprint"))
+
+
+def shingles(text: str | None, words: int) -> set:
+    """Distinct word shingles of a text, normalised as for its fingerprint; a short text is one shingle."""
+    split = text.encode().lower().split() if text else []
+    return set(zip(*(split[k:] for k in range(words)))) if len(split) >= words else {tuple(split)}
+
+
+def confirmed(links: DataFrame, ids: DataFrame, docs: DataFrame, words: int, shingle: int, similarity: float) -> DataFrame:
+    """The ``links`` (a, b) whose texts share enough of their distinct shingles.
+
+    ``ids`` names one doc_id for each fingerprint; only texts of linked fingerprints travel. A link without an id on
+    one side is not confirmed.
+    """
+
+    def right(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:  # of rows that repeat an id, those with the fingerprint in question
+            same = [fingerprint(t, words) for t in b.column("text").to_pylist()]
+            yield b.filter(pa.array(np.array(same, np.uint64).view(np.int64) == b.column("fingerprint").to_numpy()))
+
+    def alike(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            keep = []
+            for s, t in zip(batch.column("s"), batch.column("t")):
+                x, y = shingles(s.as_py(), shingle), shingles(t.as_py(), shingle)
+                both = len(x & y)
+                keep.append(both >= similarity * (len(x) + len(y) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    prepare(docs.sparkSession)
+    asked = links.select(F.col("a").alias("fingerprint")).union(links.select("b")).distinct().join(ids, "fingerprint")
+    texts = docs.select("doc_id", "text").join(asked, "doc_id").select("fingerprint", "text")
+    texts = texts.mapInArrow(right, "fingerprint long, text string").groupBy("fingerprint").agg(F.min("text").alias("text"))
+    texts = written(texts, "link-texts")
+    pairs = links.join(texts.select(F.col("fingerprint").alias("a"), F.col("text").alias("s")), "a")
+    pairs = pairs.join(texts.select(F.col("fingerprint").alias("b"), F.col("text").alias("t")), "b")
+    return pairs.select("a", "b", "s", "t").mapInArrow(alike, "a long, b long")
+
+
+def near_copies(docs: DataFrame, words: int = 3, radius: int = 3, reach: int = 7, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """As ``near_duplicates``, and groups are joined when their texts prove alike at up to ``reach`` bits.
+
+    Groups linked within ``radius`` bits each ask with one fingerprint, so a large group stays one point of the wide
+    search. Of the links up to ``reach`` bits a forest of the shortest is compared: the whole texts, by their distinct
+    shingles of ``shingle`` words (Jaccard). Rows without an id join groups within ``radius`` bits alone.
+    """
+    prints = written(fingerprints(docs, words), "fingerprints")
+    near = components(linked(prints, radius)).withColumnRenamed("node", "fingerprint")
+    ids = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("doc_id")).join(near, "fingerprint", "left")
+    ids = written(ids.withColumn("root", F.coalesce("root", "fingerprint")), "groups")
+    leaders = ids.where("fingerprint = root").select("fingerprint", "doc_id")
+    links = written(linked(leaders, reach, shortest=True), "links")
+    wide = components(confirmed(links, leaders, docs, words, shingle, similarity))
+    roots = ids.join(wide.select(F.col("node").alias("root"), F.col("root").alias("wider")), "root", "left")
+    return grouped(prints, roots.select("fingerprint", F.coalesce("wider", "root").alias("root")))

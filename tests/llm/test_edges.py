@@ -161,6 +161,65 @@ def test_large_shards_and_trees(spark, monkeypatch):
         got = {r["node"]: r["root"] for r in components(simhash.linked(frame, radius)).collect()}
         want = reachable({v: v for v in values}, radius)
         assert {v: got.get(v, v) for v in values} == want
+        links = {(r["a"], r["b"]) for r in simhash.linked(frame, radius, shortest=True).collect()}
+        assert all(a < b and (a ^ b).bit_count() <= radius for a, b in links)
+        got = {r["node"]: r["root"] for r in components(spark.createDataFrame(list(links), "a long, b long")).collect()}
+        assert {v: got.get(v, v) for v in values} == want
+
+
+def test_shortest_links_of_one_tree():
+    import itertools
+    import random
+
+    import numpy as np
+
+    from skyflow.llm.simhash import ShortestLinks
+
+    rng = random.Random(4)
+    value = np.array(sorted({rng.getrandbits(10) for _ in range(60)}), np.uint64)
+    distance = lambda a, b: (int(value[a]) ^ int(value[b])).bit_count()
+    pairs = list(itertools.combinations(range(len(value)), 2))
+    root = list(range(len(value)))
+    want = []
+    for a, b in sorted(pairs, key=lambda p: (distance(*p), p)):
+        if root[a] != root[b]:
+            want.append((a, b))
+            root = [root[a] if r == root[b] else r for r in root]
+    links = ShortestLinks(value, block=100)
+    rng.shuffle(pairs)
+    for lo in range(0, len(pairs), 50):
+        a, b = np.array(pairs[lo : lo + 50]).T
+        links.add(b, a)
+    assert sorted(zip(*(x.tolist() for x in links.forest()))) == sorted(want)
+
+
+def test_near_copies(spark, docs, none):
+    import random
+
+    from skyflow.llm.simhash import fingerprint, near_copies, near_duplicates, shingles
+
+    rng = random.Random(7)
+    texts = []
+    for _ in range(60):
+        words = [f"w{rng.randrange(5000)}" for _ in range(300)]
+        copy = list(words)
+        for _ in range(rng.choice((1, 3, 5, 12))):
+            copy[rng.randrange(300)] = "changed"
+        texts += [" ".join(words), " ".join(copy)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in near_copies(frame).collect()}
+    narrow = {r["doc_id"]: r["component_id"] for r in near_duplicates(frame).collect()}
+    joined = 0
+    for k in range(0, len(texts), 2):
+        bits = (fingerprint(texts[k]) ^ fingerprint(texts[k + 1])).bit_count()
+        x, y = shingles(texts[k], 5), shingles(texts[k + 1], 5)
+        close = bits <= 3 or bits <= 7 and len(x & y) >= 0.8 * len(x | y)
+        assert got[k] == k and got[k + 1] == (k if close else k + 1)
+        joined += got[k + 1] != narrow[k + 1]
+    assert joined > 5  # of those beyond three bits
+    rows = near_copies(docs).collect()
+    assert len(rows) == len(TEXTS) and {r["component_id"] for r in rows if r["fingerprint"] == 0} == {1}
+    assert near_copies(none).count() == 0
 
 
 def test_exact_dedup(docs, none):
