@@ -8,6 +8,8 @@ ARCSEC_PER_RADIAN = 206264.80624709636
 # Separations are rounded to this many decimals (arcsec), so that two reference
 # stars at mirrored offsets tie exactly and the smaller id wins.
 SEP_DECIMALS = 6
+# A radius is tested on separations of this many decimals: finer than any catalogue, coarser than a double's noise.
+SEP_EXACT = 9
 
 
 def _col(c: Column | str) -> Column:

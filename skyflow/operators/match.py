@@ -16,7 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from skyflow.functions.angles import ARCSEC_PER_RADIAN, SEP_DECIMALS, chord_angle, unit_vector
+from skyflow.functions.angles import ARCSEC_PER_RADIAN, SEP_DECIMALS, SEP_EXACT, chord_angle, unit_vector
 from skyflow.operators.cells import cell_height, own_cell, sky_cells
 
 # Reference positions per cell that are still compared directly.
@@ -31,8 +31,10 @@ LEAF = 32
 SLACK = 1e-11
 
 
-def _arcsec(angle: Column) -> Column:
-    return F.round(angle * ARCSEC_PER_RADIAN, SEP_DECIMALS)
+def _hit_struct(angle: Column, site: Column) -> Column:
+    """What a match is ranked by (rounded separation, then id) and the separation that is held against a radius."""
+    arcsec = angle * ARCSEC_PER_RADIAN
+    return F.struct(F.round(arcsec, SEP_DECIMALS).alias("sep"), site.alias("s"), F.round(arcsec, SEP_EXACT).alias("raw"))
 
 
 def _out_name(c: str, prefix: str) -> str:
@@ -62,20 +64,14 @@ def _chord2(x: Column, y: Column, z: Column, bx: Column, by: Column, bz: Column)
     return dx * dx + dy * dy + dz * dz
 
 
-def _ranked(sites: Column, x: Column, y: Column, z: Column) -> Column:
-    """Smallest ``(sep, id)`` of an array of sites; null when there is none."""
-    return F.array_min(
-        F.transform(
-            sites,
-            lambda s: F.struct(
-                _arcsec(chord_angle(x, y, z, s["_x"], s["_y"], s["_z"])).alias("sep"), s["_s"].alias("s")
-            ),
-        )
-    )
+def _ranked(sites: Column, x: Column, y: Column, z: Column, keep) -> Column:
+    """Smallest ``(sep, id)`` of an array of sites that pass ``keep``; null when there is none."""
+    measured = F.transform(sites, lambda s: _hit_struct(chord_angle(x, y, z, s["_x"], s["_y"], s["_z"]), s["_s"]))
+    return F.array_min(F.filter(measured, keep))
 
 
 def _sites_within(sites: Column, x: Column, y: Column, z: Column, chord2: Column) -> Column:
-    """Cheap prefilter: few sites reach the exact, rounded comparison."""
+    """Cheap prefilter: few sites reach the exact comparison."""
     return F.filter(sites, lambda s: _chord2(x, y, z, s["_x"], s["_y"], s["_z"]) <= chord2)
 
 
@@ -108,11 +104,13 @@ def sky_match(
     how: str = "inner",
     inclusive: bool = False,
     dense: int = DENSE,
+    raw_col: str | None = None,
 ) -> DataFrame:
     """Nearest right row within ``radius`` arcsec of every left row.
 
-    Adds ``sep`` (arcsec), the right id and ``right_cols``. Ties go to the
-    smaller id. ``how="left"`` keeps unmatched rows with nulls.
+    Adds ``sep`` (arcsec, 6 decimals), the right id and ``right_cols``; ``raw_col``
+    also holds the separation that was compared. Separations equal to 6 decimals tie
+    and the smaller id wins. ``how="left"`` keeps unmatched rows with nulls.
     """
     keys, cols = list(keys), list(right_cols)
     radius_deg = radius / 3600.0
@@ -131,7 +129,7 @@ def sky_match(
         sparse_sources = sources.join(crowded, on, "left_anti")
 
     def hit(b: Column) -> Column:
-        return (b["sep"] <= radius) if inclusive else (b["sep"] < radius)
+        return (b["raw"] <= radius) if inclusive else (b["raw"] < radius)
 
     cells = _site_struct(sparse_copies).groupBy(*on).agg(F.collect_list("_site").alias("_sites"))
     x, y, z = unit_vector(lra, ldec)
@@ -139,7 +137,7 @@ def sky_match(
     found = found.withColumns({"_lx": x, "_ly": y, "_lz": z})
     xyz = (F.col("_lx"), F.col("_ly"), F.col("_lz"))
     reach = 2 * math.sin(min(math.radians(radius_deg) + 1e-9, math.pi) / 2)
-    near = _ranked(_sites_within(F.col("_sites"), *xyz, F.lit(reach * reach)), *xyz)
+    near = _ranked(_sites_within(F.col("_sites"), *xyz, F.lit(reach * reach)), *xyz, hit)
     found = _once(found, near, hit).drop("_sites", "_lx", "_ly", "_lz")
     if is_crowded:
         busy = sources.join(crowded, on, "left_semi")
@@ -150,6 +148,8 @@ def sky_match(
         found = found.unionByName(far.select(*found.columns))
     if how == "inner":
         found = found.where(F.col("_best").isNotNull())
+    if raw_col:
+        found = found.withColumn(raw_col, F.col("_best.raw"))
     return _spread(found, right_id, cols, prefix, sep_col).drop("_cell")
 
 
@@ -203,7 +203,7 @@ def nearest_by_descent(
 
     Each level is an equi-join on the parent cell that keeps the children whose
     nearest possible member is not farther than the best member seen so far. Adds
-    ``_near = struct(sep, s)``. Equal left positions are searched once.
+    ``_near = struct(sep, s, raw)``. Equal left positions are searched once.
     """
     keys, levels = list(keys), list(levels)
     ra, dec = (F.col(c).cast("double") for c in left_pos)
@@ -249,8 +249,8 @@ def nearest_by_descent(
     chord2 = _chord2(*xyz, F.col("_x"), F.col("_y"), F.col("_z"))
     limit = F.col("_ub") + SLACK
     near = cand.join(members, keys + parent).where(chord2 <= limit * limit)
-    sep = _arcsec(chord_angle(*xyz, F.col("_x"), F.col("_y"), F.col("_z")))
-    near = near.groupBy(*pos).agg(F.min(F.struct(sep.alias("sep"), F.col("_s").alias("s"))).alias("_near"))
+    measured = _hit_struct(chord_angle(*xyz, F.col("_x"), F.col("_y"), F.col("_z")), F.col("_s"))
+    near = near.groupBy(*pos).agg(F.min(measured).alias("_near"))
     return left.join(near, pos, "left").drop("_lra", "_ldec", "_one")
 
 
@@ -290,8 +290,8 @@ def adaptive_match(
     group = list(group)
     widest = left.agg(F.max(rms).alias("r")).first()["r"]
     radius = max(default_radius, (widest or 0.0) * max_k)
-    found = sky_match(left, right, radius, **match_args)
-    sep = F.col(match_args.get("sep_col", "sep"))
+    found = sky_match(left, right, radius, raw_col="_raw", **match_args)
+    sep = F.col("_raw")
     per_k = found.groupBy(*group).agg(
         *[F.count_if(sep < F.col(rms) * k).alias(f"_n{k}") for k in range(1, max_k)]
     )
@@ -307,6 +307,7 @@ def adaptive_match(
         .withColumn("match_radius", limit)
         .withColumn("match_k", F.when(F.col(rms).isNotNull(), F.col("match_k")))
         .where(sep < F.col("match_radius"))
+        .drop("_raw")
     )
 
 

@@ -80,6 +80,14 @@ def test_strict_radius_and_left_join(spark):
     assert [r["ref_number"] for r in kept] == [9, None]
 
 
+def test_radius_is_not_tested_on_the_rounded_separation(spark):
+    left = spark.createDataFrame([(1, 0.0, 0.0)], "number int, ra double, dec double")
+    right = spark.createDataFrame([(7, 1.9999997 / 3600, 0.0)], "ref_id int, ra double, dec double")
+    for dense in (128, 0):
+        row = mt.sky_match(left, right, 2.0, left_pos=("ra", "dec"), right_pos=("ra", "dec"), dense=dense).first()
+        assert (row["ref_id"], row["sep"]) == (7, 2.0)
+
+
 def test_empty_right_side(spark):
     left = table(spark, [(1, 50.0, 0.0)])
     right = table(spark, [])

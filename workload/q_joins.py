@@ -12,6 +12,7 @@ from workload.views import table_of, view
 
 _M = match("m", "sources", "refcat", 2.0, "ref_id", ["rmag", "e_rmag"])
 _V = ("sources", "refcat")
+# Separations have 6 decimals; the queries show 4, and the 3e-7 keeps halves off the edge where two engines may round apart.
 
 
 @query("sky_match__J1", using(*_V, ctes=_M) + "select number, chip, ref_id, round(sep+3e-7,4) as sep, round(ref_rmag,9) as ref_rmag from m")
@@ -54,18 +55,18 @@ def _with_rms(spark, d):
 
 
 _ADAPT = (
-    match("m0", "sources", "refcat", 1.0, "ref_id", keys=["chip"])
+    match("m0", "sources", "refcat", 1.0, "ref_id", keys=["chip"], hidden="rn")
     + """,
  m as (select *, cast(floor(x_image/1152) as int) as amp, case chip when 'kk' then 0.1e0 when 'mm' then 0.15e0 when 'tt' then 0.2e0 end as rms from m0),
- k as (select chip, amp, case when count(*) filter (where sep<rms*1)>50 then 1 when count(*) filter (where sep<rms*2)>50 then 2
-  when count(*) filter (where sep<rms*3)>50 then 3 when count(*) filter (where sep<rms*4)>50 then 4 else 5 end as match_k from m group by chip, amp),
+ k as (select chip, amp, case when count(*) filter (where raw<rms*1)>50 then 1 when count(*) filter (where raw<rms*2)>50 then 2
+  when count(*) filter (where raw<rms*3)>50 then 3 when count(*) filter (where raw<rms*4)>50 then 4 else 5 end as match_k from m group by chip, amp),
  a as (select m.*, case when rms is not null then match_k end as match_k, coalesce(rms*match_k,0.5e0) as match_radius from m join k using (chip, amp))"""
 )
 
 
 @query(
     "adaptive_match__J3",
-    using(*_V, ctes=_ADAPT) + "select number, chip, amp, ref_id, round(sep+3e-7,4) as sep, match_k, round(match_radius,6) as match_radius from a where sep<match_radius",
+    using(*_V, ctes=_ADAPT) + "select number, chip, amp, ref_id, round(sep+3e-7,4) as sep, match_k, round(match_radius,6) as match_radius from a where raw<match_radius",
 )
 def adaptive_match(spark, d):
     m = mt.adaptive_match(

@@ -23,18 +23,18 @@ def using(*views: str, ctes: str = "") -> str:
     return "with " + duck(*views) + (",\n" + ctes if ctes else "") + "\n"
 
 
-def sep(a1: str, d1: str, a2: str, d2: str) -> str:
-    """Separation in arcsec, 6 decimals."""
+def sep(a1: str, d1: str, a2: str, d2: str, decimals: int = 6) -> str:
+    """Separation in arcsec."""
     return (
         f"round(2*asin(least(1e0,sqrt(pow(sin(radians(({d2})-({d1}))/2),2)"
-        f"+cos(radians({d1}))*cos(radians({d2}))*pow(sin(radians(({a2})-({a1}))/2),2))))*206264.80624709636,6)"
+        f"+cos(radians({d1}))*cos(radians({d2}))*pow(sin(radians(({a2})-({a1}))/2),2))))*206264.80624709636,{decimals})"
     )
 
 
 def match(
     name: str, left: str, right: str, radius: float, rid: str, rcols: Sequence[str] = (), lid: str = "number",
     lpos: tuple[str, str] = ("alpha_j2000", "delta_j2000"), rpos: tuple[str, str] = ("raj2000", "dej2000"),
-    keys: Sequence[str] = (), strict: str = "<",
+    keys: Sequence[str] = (), strict: str = "<", hidden: str = "rn, raw",
 ) -> str:
     """CTE: nearest right row within ``radius`` arcsec, ties to the smaller id (fields near declination -30)."""
     pad = radius / 3600 * 1.001 + 1e-9
@@ -44,11 +44,11 @@ def match(
     cols = "".join(f", r.{c} as {c if c.startswith('ref_') else 'ref_' + c}" for c in rcols)
     out = rid if rid.startswith("ref_") else "ref_" + rid
     return f"""{name} as materialized (
- select * exclude (rn) from (
+ select * exclude ({hidden}) from (
   select *, row_number() over (partition by {lid} order by sep, {out}) as rn from (
-   select l.*, r.{rid} as {out}{cols}, {sep(a, d, b, e)} as sep
+   select l.*, r.{rid} as {out}{cols}, {sep(a, d, b, e)} as sep, {sep(a, d, b, e, 9)} as raw
    from {left} l join {right} r on {on}{e} between {d}-{pad} and {d}+{pad}
-    and {b} between {a}-{pad * 1.3} and {a}+{pad * 1.3}) where sep {strict} {radius}) where rn=1)"""
+    and {b} between {a}-{pad * 1.3} and {a}+{pad * 1.3}) where raw {strict} {radius}) where rn=1)"""
 
 
 def clip(name: str, source: str, keys: Sequence[str], col: str, sigma: float, passes: int = 25) -> str:
