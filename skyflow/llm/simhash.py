@@ -140,16 +140,21 @@ class Union:
 
 
 class ShortestLinks:
-    """A minimum spanning forest of the links added, by distance, then by place; links are held in bounded blocks."""
+    """Minimum spanning forests of the links added, by distance, then by place; links are held in bounded blocks.
 
-    def __init__(self, value: np.ndarray, block: int = 2_000_000):
-        self.value, self.block, self.a, self.b = value, block, [], []
+    The first forest takes the shortest links, each further one those of the links that are left. ``more`` marks
+    points with links beyond the last forest.
+    """
+
+    def __init__(self, value: np.ndarray, block: int = 2_000_000, forests: int = 1):
+        self.value, self.block, self.forests, self.a, self.b = value, block, forests, [], []
+        self.label, self.more = np.arange(len(value)), np.zeros(len(value), bool)
 
     def add(self, a: np.ndarray, b: np.ndarray) -> None:
         apart = a != b
         self.a.append(np.minimum(a, b)[apart])
         self.b.append(np.maximum(a, b)[apart])
-        if sum(map(len, self.a)) > self.block + len(self.value):
+        if sum(map(len, self.a)) > self.block + self.forests * len(self.value):
             self.forest()
 
     def forest(self) -> tuple[np.ndarray, np.ndarray]:
@@ -157,28 +162,35 @@ class ShortestLinks:
         a, b = np.concatenate([none, *self.a]), np.concatenate([none, *self.b])
         order = np.lexsort((b, a, np.bitwise_count(self.value[a] ^ self.value[b])))
         a, b = a[order], b[order]
-        union, live, kept = Union(len(self.value)), np.arange(len(a)), [none]
-        while True:  # every set takes its first link to another set
-            x, y = union.label[a[live]], union.label[b[live]]
-            live, x, y = live[x != y], x[x != y], y[x != y]
-            if not len(live):
+        once = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])][: len(a)]
+        a, b = a[once], b[once]
+        kept, rest = [none], np.arange(len(a))
+        for k in range(self.forests):
+            if not len(rest):
                 break
-            first = np.full(len(self.value), len(a))
-            np.minimum.at(first, x, live)
-            np.minimum.at(first, y, live)
-            kept.append(np.unique(first[first < len(a)]))
-            union.add(a[kept[-1]], b[kept[-1]])
+            union, live, taken = Union(len(self.value)), rest, [none]
+            while True:  # every set takes its first link to another set
+                x, y = union.label[a[live]], union.label[b[live]]
+                live, x, y = live[x != y], x[x != y], y[x != y]
+                if not len(live):
+                    break
+                first = np.full(len(self.value), len(a))
+                np.minimum.at(first, x, live)
+                np.minimum.at(first, y, live)
+                taken.append(np.unique(first[first < len(a)]))
+                union.add(a[taken[-1]], b[taken[-1]])
+            self.label = union.label if k == 0 else self.label
+            kept += taken
+            rest = np.setdiff1d(rest, np.concatenate(taken), assume_unique=True)
+        self.more[a[rest]] = self.more[b[rest]] = True
         kept = np.sort(np.concatenate(kept))
         self.a, self.b = [a[kept]], [b[kept]]
         return a[kept], b[kept]
 
 
-def linked(prints: DataFrame, radius: int = 3, shortest: bool = False) -> DataFrame:
-    """Edges (a, b) between distinct fingerprints of ``prints`` that connect all those within ``radius``.
-
-    Each task returns a spanning forest of the links that it finds, so near copies make no more edges than points.
-    With ``shortest`` every edge is itself a link, and the forest takes the shortest ones.
-    """
+def dealt(prints: DataFrame, radius: int) -> DataFrame:
+    """shard, bits, part, fingerprint and asks: the distinct fingerprints of every shard; of a large shard every part
+    holds all of them, and each asks in one part."""
     distinct = written(prints.select("fingerprint").distinct(), "prints")
     masks = [m - (1 << 64) if m >> 63 else m for m in shards(radius, distinct.count())]
     keyed = distinct.select(
@@ -188,12 +200,20 @@ def linked(prints: DataFrame, radius: int = 3, shortest: bool = False) -> DataFr
     large = keyed.groupBy("shard", "bits").agg(F.count("*").alias("n")).where(F.col("n") > SEARCHED)
     parts = F.coalesce(F.ceil(F.col("n") / SEARCHED).cast("int"), F.lit(1))
     own = F.pmod(F.xxhash64("fingerprint"), F.col("parts"))
-    spread = (
+    return (
         keyed.join(large, ["shard", "bits"], "left").withColumn("parts", parts)
         .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         .select("shard", "bits", "part", "fingerprint", (own == F.col("part")).alias("asks"))
     )
 
+
+def linked(prints: DataFrame, radius: int = 3, shortest: bool = False) -> DataFrame:
+    """Edges (a, b) between distinct fingerprints of ``prints`` that connect all those within ``radius``.
+
+    Each task returns a spanning forest of the links that it finds, so near copies make no more edges than points.
+    With ``shortest`` every edge is itself a link, and the forest takes the shortest ones.
+    """
+
     def find(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = list(it)
         if not held:
@@ -217,7 +237,49 @@ def linked(prints: DataFrame, radius: int = 3, shortest: bool = False) -> DataFr
             b = links.label[a]
         yield pa.RecordBatch.from_arrays([pa.array(prints[a]), pa.array(prints[b])], names=["a", "b"])
 
-    return spread.repartition("shard", "bits", "part").mapInArrow(find, "a long, b long").distinct()
+    return dealt(prints, radius).repartition("shard", "bits", "part").mapInArrow(find, "a long, b long").distinct()
+
+
+_OPEN = "shard int, bits long, part int, tree long, fingerprint long, asks boolean"
+
+
+def unjoined(open_: DataFrame, radius: int, forests: int) -> DataFrame:
+    """Links within ``radius`` between fingerprints of different ``root``, and the points with more of them.
+
+    ``open_`` has the columns of ``dealt``, ``tree`` (connected points of a shard) and ``root``. Every tree gives up to
+    ``forests`` spanning forests of its links as rows with ``link``; where these are not all its links, the points of
+    the connected set come as rows without one, to be searched again.
+    """
+    keys = ["shard", "bits", "part", "tree"]
+
+    def find(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = list(it)
+        if not held:
+            return
+        t = pa.Table.from_batches(held)
+        columns = [t.column(c).to_numpy() for c in (*keys, "fingerprint")]
+        order = np.lexsort(columns[::-1])
+        columns = [c[order] for c in columns]
+        asks, root = t.column("asks").to_numpy()[order], t.column("root").to_numpy()[order]
+        prints = columns[-1]
+        value = prints.view(np.uint64)
+        new = np.zeros(len(value), bool)
+        for c in columns[:-1]:
+            new[1:] |= c[1:] != c[:-1]
+        tree = np.cumsum(new)
+        forest, links = Forest(tree, value), ShortestLinks(value, forests=forests)
+        asking = np.flatnonzero(asks)
+        for q, node in forest.search(value[asking], forest.root[tree[asking]], radius):
+            apart = root[asking[q]] != root[node]
+            links.add(asking[q][apart], node[apart])
+        a, b = links.forest()
+        again = np.flatnonzero(np.isin(links.label, links.label[links.more]))
+        at = np.r_[a, again]
+        out = [c[at] for c in columns[:3]] + [prints[np.r_[a, links.label[again]]], prints[at], asks[at]]
+        link = pa.array(np.r_[prints[b], prints[again]], mask=np.arange(len(at)) >= len(a))
+        yield pa.RecordBatch.from_arrays([*map(pa.array, out), link], names=[*keys, "fingerprint", "asks", "link"])
+
+    return open_.select(*keys, "fingerprint", "asks", "root").repartition(*keys).mapInArrow(find, _OPEN + ", link long")
 
 
 def grouped(prints: DataFrame, roots: DataFrame) -> DataFrame:
@@ -280,15 +342,34 @@ def near_copies(docs: DataFrame, words: int = 3, radius: int = 3, reach: int = 7
     """As ``near_duplicates``, and groups are joined when their texts prove alike at up to ``reach`` bits.
 
     Groups linked within ``radius`` bits each ask with one fingerprint, so a large group stays one point of the wide
-    search. Of the links up to ``reach`` bits a forest of the shortest is compared: the whole texts, by their distinct
-    shingles of ``shingle`` words (Jaccard). Rows without an id join groups within ``radius`` bits alone.
+    search. Links up to ``reach`` bits are compared on the whole texts, by their distinct shingles of ``shingle`` words
+    (Jaccard): forests of the shortest links first, then of the links left between groups that are not joined yet,
+    four times as many forests in each round, until none is left. Rows without an id join groups within ``radius`` bits alone.
     """
     prints = written(fingerprints(docs, words), "fingerprints")
     near = components(linked(prints, radius)).withColumnRenamed("node", "fingerprint")
     ids = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("doc_id")).join(near, "fingerprint", "left")
     ids = written(ids.withColumn("root", F.coalesce("root", "fingerprint")), "groups")
     leaders = ids.where("fingerprint = root").select("fingerprint", "doc_id")
-    links = written(linked(leaders, reach, shortest=True), "links")
-    wide = components(confirmed(links, leaders, docs, words, shingle, similarity))
+    open_ = dealt(leaders, reach).withColumns({"tree": F.lit(0).cast("long"), "root": F.col("fingerprint")})
+    tested = good = None
+    forests = 1
+    while True:
+        found = written(unjoined(open_, reach, forests), "found")
+        links = found.where("link is not null").select(F.least("fingerprint", "link").alias("a"), F.greatest("fingerprint", "link").alias("b")).distinct()
+        links = written(links.join(tested, ["a", "b"], "left_anti") if tested else links, "links")
+        right = written(confirmed(links, leaders, docs, words, shingle, similarity), "confirmed")
+        tested, good = (tested.union(links), good.union(right)) if tested else (links, right)
+        wide = components(good)
+        points = found.where("link is null").drop("link")
+        if points.isEmpty():
+            break
+        points = points.join(wide.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
+        keys = ["shard", "bits", "part", "tree"]
+        several = points.groupBy(*keys).agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+        open_ = written(points.join(several, keys, "left_semi"), "open")
+        if open_.isEmpty():
+            break
+        forests *= 4
     roots = ids.join(wide.select(F.col("node").alias("root"), F.col("root").alias("wider")), "root", "left")
     return grouped(prints, roots.select("fingerprint", F.coalesce("wider", "root").alias("root")))

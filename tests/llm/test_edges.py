@@ -222,6 +222,53 @@ def test_near_copies(spark, docs, none):
     assert near_copies(none).count() == 0
 
 
+def test_near_copies_behind_refused_links(spark):
+    import itertools
+    import random
+
+    from skyflow.llm.simhash import fingerprint, near_copies, shingles
+
+    rng = random.Random(3)
+    texts = []
+    for _ in range(10):
+        base = [f"w{rng.randrange(5000)}" for _ in range(200)]
+        for _ in range(12):
+            copy = list(base)
+            for _ in range(rng.randrange(1, 7)):
+                copy[rng.randrange(200)] = f"w{rng.randrange(5000)}"
+            texts.append(" ".join(copy))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    root, refused = list(range(len(texts))), 0
+    for i, k in itertools.combinations(range(len(texts)), 2):
+        x, y = shingles(texts[i], 5), shingles(texts[k], 5)
+        if (fingerprint(texts[i]) ^ fingerprint(texts[k])).bit_count() <= 12:
+            if len(x & y) >= 0.8 * len(x | y):
+                low, high = sorted((root[i], root[k]))
+                root = [low if r == high else r for r in root]
+            else:
+                refused += 1
+    assert refused > 100
+    got = {r["doc_id"]: r["component_id"] for r in near_copies(frame, radius=0, reach=12).collect()}
+    assert got == dict(enumerate(root))
+
+
+def test_forests_take_all_links_in_the_end():
+    import itertools
+
+    import numpy as np
+
+    from skyflow.llm.simhash import ShortestLinks
+
+    pairs = np.array(list(itertools.combinations(range(8), 2)))
+    for forests, block in ((1, 1000), (2, 1000), (4, 1000), (4, 1)):
+        links = ShortestLinks(np.arange(8, dtype=np.uint64), block, forests)
+        for _ in range(2):  # a link found from both of its ends counts once
+            links.add(*pairs.T)
+        a, b = links.forest()
+        assert len(a) == len(set(zip(a.tolist(), b.tolist()))) <= 7 * forests
+        assert links.more.any() == (len(a) < len(pairs)) and set(links.label) == {0}
+
+
 def test_exact_dedup(docs, none):
     from skyflow.llm.exact_dedup import dedup
 
