@@ -48,15 +48,27 @@ class Cells:
         return np.sqrt(np.maximum(square, 0))
 
 
-def bounds(cells: Cells, reach: np.ndarray, nearest: list[list[float]], k: int) -> np.ndarray:
-    """For the queries of each cell, a distance within which k candidates lie (infinite with fewer candidates)."""
+def nearest_ids(d: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``k`` different ids with the smallest distances, each with its smallest one, by distance."""
+    order = np.lexsort((ids, d))
+    d, ids = d[order], ids[order]
+    first = np.sort(np.unique(ids, return_index=True)[1])[:k]
+    return d[first], ids[first]
+
+
+def bounds(cells: Cells, reach: np.ndarray, nearest: list[tuple[np.ndarray, np.ndarray]], k: int) -> np.ndarray:
+    """For the queries of each cell, a distance within which candidates of k different ids lie (infinite with fewer).
+
+    ``nearest`` has distances and ids of each cell's ``nearest_ids``.
+    """
     p = np.hstack([cells.pivots, cells.lift[:, None]])
     apart = np.sqrt(np.maximum(((p[:, None] - p[None]) ** 2).sum(2), 0))
     out = np.full(len(p), np.inf)
     for i in range(len(p)):
-        through = np.concatenate([apart[i, j] + np.asarray(d) for j, d in enumerate(nearest) if len(d)] or [np.zeros(0)])
-        if len(through) >= k:
-            out[i] = reach[i] + np.partition(through, k - 1)[k - 1]
+        through = np.concatenate([np.zeros(0), *(apart[i, j] + d for j, (d, _) in enumerate(nearest))])
+        through, _ = nearest_ids(through, np.concatenate([np.zeros(0, np.int64), *(ids for _, ids in nearest)]), k)
+        if len(through) == k:
+            out[i] = reach[i] + through[-1]
     return out
 
 
@@ -121,24 +133,26 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
             yield b, cell, d
 
     def nearest(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: list[np.ndarray] = [np.zeros(0)] * m
-        for _, cell, d in assign(it, False):
+        best = [(np.zeros(0), np.zeros(0, np.int64))] * m
+        for b, cell, d in assign(it, False):
+            ids = b.column("vec_id").to_numpy()
             for i in np.unique(cell):
-                best[i] = np.sort(np.concatenate([best[i], d[cell == i, i]]))[: k + 1]
-        held = [i for i in range(m) if len(best[i])]
-        yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), pa.array([best[i].tolist() for i in held], pa.list_(pa.float64()))], names=["cell", "near"])
+                own = cell == i
+                best[i] = nearest_ids(np.concatenate([best[i][0], d[own, i]]), np.concatenate([best[i][1], ids[own]]), k + 1)
+        cells_of = np.repeat(np.arange(m, dtype=np.int32), [len(d) for d, _ in best])
+        yield pa.RecordBatch.from_arrays([pa.array(cells_of), *(pa.array(np.concatenate(x)) for x in zip(*best))], names=["cell", "near", "vec_id"])
 
     def query_cells(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, cell, d in assign(it, True):
             yield pa.RecordBatch.from_arrays([b.column("vec_id"), b.column("v"), pa.array(cell.astype(np.int32)), pa.array(d[np.arange(len(cell)), cell])], names=["vec_id", "v", "cell", "reach"])
 
-    summary = base.select("v").mapInArrow(nearest, "cell int, near array<double>").groupBy("cell")
-    summary = summary.agg(F.slice(F.sort_array(F.flatten(F.collect_list("near"))), 1, k + 1).alias("near")).collect()
+    summary = base.select("vec_id", "v").mapInArrow(nearest, "cell int, near double, vec_id long").groupBy("cell", "vec_id").agg(F.min("near").alias("near"))
+    summary = summary.groupBy("cell").agg(F.slice(F.sort_array(F.collect_list(F.struct("near", "vec_id"))), 1, k + 1).alias("near")).collect()
     queries = written(queries.mapInArrow(query_cells, "vec_id long, v array<long>, cell int, reach double"), "queries")
     asked = queries.groupBy("cell").agg(F.max("reach").alias("reach"), F.count("*").alias("n")).collect()
-    near: list[list[float]] = [[] for _ in range(m)]
+    near = [(np.zeros(0), np.zeros(0, np.int64))] * m
     for r in summary:
-        near[r["cell"]] = r["near"]
+        near[r["cell"]] = tuple(np.array([x[c] for x in r["near"]], t) for c, t in (("near", float), ("vec_id", np.int64)))
     reach, number = np.zeros(m), np.zeros(m, np.int64)
     for r in asked:
         reach[r["cell"]], number[r["cell"]] = r["reach"], r["n"]

@@ -76,6 +76,24 @@ def test_top_k(spark):
     assert knn_join.top_k(v.where("vec_id = 100"), F.col("vec_id") % 100 == 0).count() == 0
 
 
+def test_top_k_with_an_id_repeated_more_than_k_times(spark):
+    import random
+
+    from skyflow.llm import knn_join
+
+    frame = lambda data: spark.createDataFrame(data, "vec_id long, v array<long>")
+    rows = [(100, [10, 0])] * 3 + [(1, [0, 5])]
+    assert [tuple(r) for r in knn_join.top_k(frame(rows), F.col("vec_id") == 100, 1).collect()] == [(100, 1, 1, 0)]
+    rng = random.Random(5)
+    point = lambda: [rng.randrange(-50, 50) for _ in range(3)]
+    near = [[500 + rng.randrange(-30, 30), rng.randrange(30), rng.randrange(30)] for _ in range(40)]
+    rows = [(i, point()) for i in range(1, 60)] + [(100, v) for v in near]  # one id over several cells
+    own = min(near)
+    want = sorted((-sum(a * b for a, b in zip(own, v)), i) for i, v in rows if i != 100)[:4]
+    got = knn_join.top_k(frame(rows), F.col("vec_id") == 100, 4).orderBy("rank").collect()
+    assert [(-r["score"], r["vec_id"]) for r in got] == want
+
+
 def test_byte_bpe(docs, none):
     from skyflow.llm import byte_bpe
 
