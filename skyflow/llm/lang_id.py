@@ -200,18 +200,24 @@ class WordScores:
         return [self.values[np.fromiter(map(get, t), np.int64, len(t))].sum(0) for t in texts]
 
 
-def fit(docs: DataFrame, vocabulary_path: str, rows: int = FIT_ROWS, rounds: int = 3) -> LanguageModel:
-    """Learns from the rows of ``docs`` with a language, about ``rows`` of each chosen by hash of the id.
-
-    Null languages, ids and texts are left out. No such rows: a model of no languages.
-    """
-    spark = prepare(docs.sparkSession)
+def sample(docs: DataFrame, rows: int) -> tuple[DataFrame, list[str]]:
+    """lang and text of about ``rows`` rows of each language, chosen by hash of the id; and the languages."""
     known = docs.where("lang is not null and doc_id is not null and text is not null").select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
     number = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     langs = sorted(number)
     share = F.lit(0)
     for lang in langs:
         share = F.when(F.col("lang") == lang, int(min(1, rows / number[lang]) * (1 << 30))).otherwise(share)
+    return known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share).select("lang", "text"), langs
+
+
+def fit(docs: DataFrame, vocabulary_path: str, rows: int = FIT_ROWS, rounds: int = 3) -> LanguageModel:
+    """Learns from the rows of ``docs`` with a language, about ``rows`` of each chosen by hash of the id.
+
+    Null languages, ids and texts are left out. No such rows: a model of no languages.
+    """
+    spark = prepare(docs.sparkSession)
+    picked, langs = sample(docs, rows)
 
     def count(items: Iterator[tuple]) -> Iterator[tuple]:
         seen: Counter = Counter()
@@ -222,7 +228,6 @@ def fit(docs: DataFrame, vocabulary_path: str, rows: int = FIT_ROWS, rounds: int
                 seen.clear()
         yield from ((a, b, n) for (a, b), n in seen.items())
 
-    picked = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share).select("lang", "text")
     table = map_rows(picked, count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     table = written(table, "words")
     # pieces with a character that no word has would get no probability; without them the trie is small
@@ -260,34 +265,49 @@ def fit(docs: DataFrame, vocabulary_path: str, rows: int = FIT_ROWS, rounds: int
 
 
 def predicted(text: Column, model: LanguageModel, spark) -> Column:
-    """Struct of lang_pred and score (share of the best language, 0 to 1) of a text column.
+    """Struct of lang_pred, score (share of the best language, 0 to 1) and per_letter (log probability of the words in
+    that language by letter) of a text column.
 
     ``und`` with score 0 for texts that are null or have no letter; equal scores go to the language first by name.
     """
     sent = spark.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double, per_letter double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         m = sent.value
         scores = WordScores(m)
         for texts in batches:
             texts = texts.tolist()
-            langs, best = [], []
+            langs, best, fits = [], [], []
             for lo in range(0, len(texts), 250):
                 part = texts[lo : lo + 250]
-                for t, s in zip(part, scores.batch([words_of(t) for t in part])):
+                words = [words_of(t) for t in part]
+                for t, w, s in zip(part, words, scores.batch(words)):
                     if not m.langs or not has_letter(t):
                         langs.append("und")
                         best.append(0.0)
+                        fits.append(None)
                     else:
                         k = int(s.argmax())
                         langs.append(m.langs[k])
                         best.append(float(1 / np.exp(s - s[k]).sum()))
-            yield pd.DataFrame({"lang_pred": langs, "score": pd.Series(best, dtype="float64")})
+                        fits.append(float(s[k]) / max(1, sum(map(len, w))))
+            yield pd.DataFrame({"lang_pred": langs, "score": pd.Series(best, dtype="float64"), "per_letter": pd.Series(fits, dtype="float64")})
 
     return predict(text)
 
 
+def least_per_letter(docs: DataFrame, model: LanguageModel, rows: int = FIT_ROWS) -> dict[str, float]:
+    """For each language, the log probability by letter below which a text is not taken for it.
+
+    Twice as far below the median of the rows to fit as their lowest hundredth, so that clean texts stay.
+    """
+    picked, _ = sample(docs, rows)
+    fits = picked.select("lang", predicted(F.col("text"), model, docs.sparkSession).alias("f")).where("f.lang_pred = lang")
+    found = fits.groupBy("lang").agg(F.percentile("f.per_letter", F.array(F.lit(0.01), F.lit(0.5))).alias("q")).collect()
+    return {r["lang"]: 2 * r["q"][0] - r["q"][1] for r in found}
+
+
 def identify(docs: DataFrame, vocabulary_path: str, train_docs: DataFrame | None = None) -> DataFrame:
     """All rows and columns of ``docs`` with ``lang_pred`` and ``score`` (replaced if there)."""
     model = fit(train_docs if train_docs is not None else docs, vocabulary_path)

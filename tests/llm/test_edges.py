@@ -320,3 +320,17 @@ def test_pipeline_stages(spark, docs, none, labels, tmp_path):
                 assert out.columns == docs.columns
     kept = corpus_pipeline.drop_near_duplicates(spark, docs, str(tmp_path))
     assert sorted(r["doc_id"] for r in kept.where("doc_id in (1, 2, 4)").collect()) == [1, 4]
+
+
+def test_languages_not_learned_are_dropped(spark, tmp_path):
+    import corpus_pipeline
+    from test_queries import SF
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    more = [(-1, "Обычный русский текст, которого модель никогда не видела. " * 5, None), (-2, "xkq zvbt wqpfh gjklm bnvcx qwrtp " * 20, None)]
+    rows = docs.withColumn("lang", F.when(F.col("lang") == "en", F.col("lang"))).unionByName(spark.createDataFrame(more, "doc_id long, text string, lang string"))
+    kept = {r["doc_id"] for r in corpus_pipeline.keep_language(spark, rows, str(tmp_path)).collect()}
+    every = [(r["doc_id"], r["lang"]) for r in docs.where("text rlike '[a-z]'").collect()]
+    english, others = ([i for i, lang in every if (lang == "en") == own] for own in (True, False))
+    assert len(others) > 10 and not kept & {-1, -2}
+    assert sum(i in kept for i in others) <= 0.03 * len(others) and sum(i in kept for i in english) >= 0.97 * len(english)
