@@ -12,6 +12,7 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -58,6 +59,17 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(batches, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fingerprint long")
 
 
+def with_fingerprint(docs: DataFrame, name: str, words: int = 3) -> DataFrame:
+    """``docs`` with the fingerprint (signed long) of every row's text."""
+
+    @F.pandas_udf("long")
+    def of(texts: pd.Series) -> pd.Series:
+        return pd.Series(np.array([fingerprint(t, words) for t in texts], np.uint64).view(np.int64))
+
+    prepare(docs.sparkSession)
+    return docs.withColumn(name, of("text"))
+
+
 def shards(radius: int, number: int) -> list[int]:
     """Masks of bits such that any two fingerprints within ``radius`` agree under one of them.
 
@@ -282,13 +294,16 @@ def unjoined(open_: DataFrame, radius: int, forests: int) -> DataFrame:
     return open_.select(*keys, "fingerprint", "asks", "root").repartition(*keys).mapInArrow(find, _OPEN + ", link long")
 
 
-def grouped(prints: DataFrame, roots: DataFrame) -> DataFrame:
-    """doc_id, fingerprint and component_id of every row of ``prints``, for a table of fingerprint and root."""
+def grouped(prints: DataFrame, roots: DataFrame, *more: str) -> DataFrame:
+    """doc_id, fingerprint and component_id of every row of ``prints``, for a table of fingerprint and root.
+
+    ``more`` can name ``root``, the fingerprint that stands for the group.
+    """
     by_print = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least")).join(roots, "fingerprint", "left")
     by_print = by_print.withColumn("root", F.coalesce("root", "fingerprint"))
     least = by_print.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = by_print.select("fingerprint", "root").join(least, "root").select("fingerprint", "component_id")
-    return prints.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    named = by_print.select("fingerprint", "root").join(least, "root").select("fingerprint", "component_id", *more)
+    return prints.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id", *more)
 
 
 def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 3) -> DataFrame:
@@ -339,7 +354,7 @@ def confirmed(links: DataFrame, ids: DataFrame, docs: DataFrame, words: int, shi
 
 
 def near_copies(docs: DataFrame, words: int = 3, radius: int = 3, reach: int = 7, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """As ``near_duplicates``, and groups are joined when their texts prove alike at up to ``reach`` bits.
+    """As ``near_duplicates`` with ``root``, and groups are joined when their texts prove alike at up to ``reach`` bits.
 
     Groups linked within ``radius`` bits each ask with one fingerprint, so a large group stays one point of the wide
     search. Links up to ``reach`` bits are compared on the whole texts, by their distinct shingles of ``shingle`` words
@@ -372,4 +387,4 @@ def near_copies(docs: DataFrame, words: int = 3, radius: int = 3, reach: int = 7
             break
         forests *= 4
     roots = ids.join(wide.select(F.col("node").alias("root"), F.col("root").alias("wider")), "root", "left")
-    return grouped(prints, roots.select("fingerprint", F.coalesce("wider", "root").alias("root")))
+    return grouped(prints, roots.select("fingerprint", F.coalesce("wider", "root").alias("root")), "root")

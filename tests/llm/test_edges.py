@@ -334,3 +334,17 @@ def test_languages_not_learned_are_dropped(spark, tmp_path):
     english, others = ([i for i, lang in every if (lang == "en") == own] for own in (True, False))
     assert len(others) > 10 and not kept & {-1, -2}
     assert sum(i in kept for i in others) <= 0.03 * len(others) and sum(i in kept for i in english) >= 0.97 * len(english)
+
+
+def test_near_duplicates_of_repeated_ids(spark, tmp_path):
+    import random
+
+    import corpus_pipeline
+
+    rng = random.Random(11)
+    a, b, c, d, e = (" ".join(f"w{rng.randrange(5000)}" for _ in range(300)) for _ in range(5))
+    near = lambda text: text + " end"
+    rows = [(1, a), (2, near(a)), (2, b), (3, c), (3, near(c)), (None, d), (None, a.upper()), (None, e), (4, e.upper())]
+    kept = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path))
+    got = [(r["doc_id"], r["text"].lower().removesuffix(" end")) for r in kept.collect()]
+    assert sorted(got, key=str) == sorted([(1, a), (2, b), (3, c), (None, d), (4, e)], key=str)
