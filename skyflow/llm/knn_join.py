@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from skyflow.llm.common import map_rows, prepare, written
 
-PIVOTS = 64
+#: Pivots grow with the root of the number of vectors, within these bounds.
+PIVOTS, MOST_PIVOTS = 64, 512
 #: Queries of a group and candidates of a block that meet in one task, about.
 GROUP, BLOCK = 2048, 16384
 
@@ -62,7 +63,7 @@ def bounds(cells: Cells, reach: np.ndarray, nearest: list[tuple[np.ndarray, np.n
     ``nearest`` has distances and ids of each cell's ``nearest_ids``.
     """
     p = np.hstack([cells.pivots, cells.lift[:, None]])
-    apart = np.sqrt(np.maximum(((p[:, None] - p[None]) ** 2).sum(2), 0))
+    apart = np.array([np.sqrt(((p - row) ** 2).sum(1)) for row in p])
     out = np.full(len(p), np.inf)
     for i in range(len(p)):
         through = np.concatenate([np.zeros(0), *(apart[i, j] + d for j, (d, _) in enumerate(nearest))])
@@ -115,20 +116,24 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     n, asking, top, width = base.agg(F.count("*"), F.count_if("asks"), F.max(square), F.max(F.size("v"))).first()
     if not n or not asking or not width:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    share = min(1.0, 8 * PIVOTS / n)
+    pivots_wanted = min(MOST_PIVOTS, max(PIVOTS, int(n**0.5) // 4))
+    share = min(1.0, 8 * pivots_wanted / n)
     limit = int((share - 0.5) * 2 * ((1 << 63) - 1)) if share < 1 else (1 << 63) - 1
-    some = base.select("v").where(F.xxhash64("v") <= limit).distinct().orderBy(F.xxhash64("v"), "v").limit(PIVOTS).collect()
+    some = base.select("v").where(F.xxhash64("v") <= limit).distinct().orderBy(F.xxhash64("v"), "v").limit(pivots_wanted).collect()
     some = some or base.select("v").limit(1).collect()
     pivots = np.zeros((len(some), width), np.int64)
     for i, r in enumerate(some):
         pivots[i, : len(r["v"])] = r["v"]
-    cells = spark.sparkContext.broadcast(Cells(pivots, top))
+    cells = Cells(pivots, top)
+    # plain values: a broadcast is pickled by reference, and workers need not have this package
+    shared = spark.sparkContext.broadcast((pivots, top))
     m = len(pivots)
     queries = written(base.where("asks").groupBy("vec_id").agg(F.min("v").alias("v")), "queries")
 
     def assign(it, query: bool):
+        here = Cells(*shared.value)
         for b in it:
-            d = cells.value.distance(matrix(b.column("v"), width), query)
+            d = here.distance(matrix(b.column("v"), width), query)
             cell = d.argmin(1)
             yield b, cell, d
 
@@ -157,7 +162,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     for r in asked:
         reach[r["cell"]], number[r["cell"]] = r["reach"], r["n"]
     slack = 1e-6 * (1 + float(np.sqrt(top)))
-    within = bounds(cells.value, reach, near, k + 1) + reach + slack
+    within = bounds(cells, reach, near, k + 1) + reach + slack
     # cells with queries in groups of about GROUP queries; a larger cell is dealt over several groups
     group_of: dict[int, tuple[int, int]] = {}
     filled, groups = GROUP, 0
@@ -170,7 +175,6 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     first = np.full((m, 2), -1, np.int64)
     for i, (g, parts) in group_of.items():
         first[i] = g, parts
-    blocks = max(1, -(-n // BLOCK))
     sent = spark.sparkContext.broadcast((within, first))
 
     def send(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,12 +186,17 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
                 goes.append(sorted({int(g) for i in np.flatnonzero(row) for g in range(to[i, 0], to[i, 0] + to[i, 1])}))
             yield pa.RecordBatch.from_arrays([b.column("vec_id"), b.column("v"), pa.array(goes, pa.list_(pa.int32()))], names=["vec_id", "v", "goes"])
 
-    data = base.select("vec_id", "v").mapInArrow(send, "vec_id long, v array<long>, goes array<int>")
-    data = data.select(F.explode("goes").alias("grp"), F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)).cast("int").alias("block"), "vec_id", "v")
+    data = written(base.select("vec_id", "v").mapInArrow(send, "vec_id long, v array<long>, goes array<int>"), "sent")
+    # a group's blocks follow what was sent to it; queries go to these blocks only
+    blocks = data.select(F.explode("goes").alias("grp")).groupBy("grp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    blocks = written(blocks, "blocks")
+    data = data.select(F.explode("goes").alias("grp"), "vec_id", "v").join(blocks, "grp")
+    data = data.select("grp", F.pmod(F.xxhash64("vec_id", "v"), "blocks").cast("int").alias("block"), "vec_id", "v")
     places = F.create_map(*(F.lit(x) for i, (g, parts) in group_of.items() for x in (i, g)))
     several = F.create_map(*(F.lit(x) for i, (g, parts) in group_of.items() for x in (i, parts)))
     grp = (places[F.col("cell")] + F.pmod(F.xxhash64("vec_id"), several[F.col("cell")])).cast("int")
-    queries = queries.select(grp.alias("grp"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "vec_id", "v")
+    queries = queries.select(grp.alias("grp"), "vec_id", "v").join(blocks, "grp")
+    queries = queries.select("grp", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "vec_id", "v")
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         q, x = ([t.column("vec_id").to_numpy(), matrix(t.column("v").combine_chunks(), width)] if len(t) else None for t in (left, right))
