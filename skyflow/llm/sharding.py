@@ -80,6 +80,7 @@ def sharded(docs: DataFrame, shards: int, virtual: int = VIRTUAL) -> DataFrame:
         "doc_id", (F.octet_length(content) + 8).cast("long").alias("size"), F.crc32(content).alias("text_crc32"),
         F.xxhash64(F.col("doc_id").cast("string")).alias("position"), F.monotonically_increasing_id().alias("row"),
     )
+    rows = written(rows, "sizes")  # the range partitioning reads its input twice, once for the bounds: not the texts
     order = ["position", "doc_id", "text_crc32", "size", "row"]  # the last one parts rows that repeat
 
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
