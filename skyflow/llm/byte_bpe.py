@@ -15,10 +15,10 @@ from typing import Any
 
 from pyspark.sql import DataFrame
 
-from skyflow.llm.common import map_rows, prepare, worker_state
+from skyflow.llm.common import LONGEST_KEY, map_rows, prepare, worker_state
 
-#: Entries of each memory of a worker.
-KEPT = 400_000
+#: Entries of each memory of a worker; strings longer than ``LONGEST_KEY`` are not kept, so this bounds its bytes.
+KEPT = 300_000
 HEAD = 8
 _SPACES = re.compile(r"\s ")
 
@@ -48,7 +48,7 @@ class ByteBpe:
 
     @staticmethod
     def shared(path: str, pattern: str) -> ByteBpe:
-        return worker_state(("bpe", path, pattern), lambda: ByteBpe(read_ranks(path), pattern))
+        return worker_state(("bpe", "ranks", path, pattern), lambda: ByteBpe(read_ranks(path), pattern))
 
     def merged(self, data: bytes) -> list[bytes]:
         """Merges the pair of lowest rank, leftmost first, until none is left; for the few bytes of two tokens."""
@@ -69,7 +69,7 @@ class ByteBpe:
         if known is None:
             a, b = self.tokens[left], self.tokens[right]
             known = self.merged(a + b) == [a, b]
-            if len(self.fits) < 1_000_000:
+            if len(self.fits) < 2 * KEPT:
                 self.fits[key] = known
         return known
 
@@ -126,7 +126,7 @@ class ByteBpe:
             data = part.encode()
             whole = self.ranks.get(data)
             ids = (whole,) if whole is not None else tuple(self.walk(self.prefixes(data)))
-            if len(self.parts) < KEPT:
+            if len(self.parts) < KEPT and len(part) <= LONGEST_KEY:
                 self.parts[part] = ids
         return ids
 
@@ -189,7 +189,7 @@ class TextCoder:
                 got = known.get(word)
                 if got is None:
                     got = self.code(" " + word)
-                    if len(known) < KEPT:
+                    if len(known) < KEPT and len(word) <= LONGEST_KEY:
                         known[word] = got
                 found.append(got)
         return self.glue.join([self.code(first), *found] if first else found)
@@ -214,9 +214,9 @@ def encode_texts(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     prepare(docs.sparkSession)
 
     def code(rows: Iterator[tuple]) -> Iterator[tuple]:
-        coder = worker_state(("coder", ranks_path, pattern), lambda: DecimalCoder(ByteBpe.shared(ranks_path, pattern)))
+        coder = worker_state(("bpe", "coder", ranks_path, pattern), lambda: DecimalCoder(ByteBpe.shared(ranks_path, pattern)))
         for doc_id, text in rows:
             ids = coder.texts.encode(text or "")
             yield doc_id, ids, coder.decode(ids)
 
-    return map_rows(docs.select("doc_id", "text"), code, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids string, decoded binary", 500)
+    return map_rows(docs.select("doc_id", "text"), code, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids string, decoded binary", 500, "bpe")

@@ -7,7 +7,6 @@ import sys
 import types
 import uuid
 from collections.abc import Callable, Iterable, Iterator
-from itertools import islice
 from typing import Any
 
 import numpy as np
@@ -37,21 +36,67 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def worker_state(key: Any, make: Callable[[], Any]) -> Any:
-    """A value that lives as long as the Python worker, so tasks of one worker share caches and loaded files."""
-    store = sys.modules.setdefault("_skyflow_worker", types.ModuleType("_skyflow_worker")).__dict__
+#: Bytes that a memory of a Python worker holds, about; longer keys are never kept.
+KEPT_BYTES, LONGEST_KEY = 64 << 20, 64
+#: An entry of a dict of short strings or bytes takes about so much besides their own lengths.
+ENTRY_BYTES = 200
+
+
+def worker_state(key: tuple, make: Callable[[], Any]) -> Any:
+    """A value that tasks of one Python worker share; tasks of another operator (``key[0]``) drop it first."""
+    store = _store()
     if key not in store:
         store[key] = make()
     return store[key]
 
 
+def _store() -> dict:
+    return sys.modules.setdefault("_skyflow_worker", types.ModuleType("_skyflow_worker")).__dict__.setdefault("kept", {})
+
+
+def begin(owner: str = "") -> None:
+    """First step of a task: lets go what other operators kept in this Python worker, and gives freed memory back."""
+    import ctypes
+
+    store = _store()
+    for key in [k for k in store if k[0] != owner]:
+        del store[key]
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+class Memory(dict):
+    """A dict that takes new short keys until it holds about ``KEPT_BYTES``."""
+
+    def __init__(self) -> None:
+        self.room = KEPT_BYTES
+
+    def keep(self, items: Iterable[tuple]) -> None:
+        for key, value in items:
+            if self.room <= 0:
+                return
+            if len(key) <= LONGEST_KEY:
+                self[key] = value
+                self.room -= ENTRY_BYTES + len(key) + len(value)
+
+
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` with columns 0, 1, ... named ``c0``, ``c1``, ..., so that no name clashes with one that a step adds."""
+    return df.toDF(*(f"c{i}" for i in range(len(df.columns))))
+
+
 def id_crc32(col: Column) -> Column:
     """Unsigned crc32 of an id's decimal text."""
     return F.crc32(col.cast("string").cast("binary"))
 
 
-def map_rows(df: DataFrame, fn: Callable[[Iterator[tuple]], Iterable[tuple]], schema: str, flush: int = 2000) -> DataFrame:
-    """``mapInArrow`` for a function from an iterator of row tuples to an iterable of row tuples."""
+def map_rows(df: DataFrame, fn: Callable[[Iterator[tuple]], Iterable[tuple]], schema: str, flush: int = 2000, owner: str = "") -> DataFrame:
+    """``mapInArrow`` for a function from an iterator of row tuples to an iterable of row tuples.
+
+    ``owner``: whose ``worker_state`` the tasks share.
+    """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
@@ -62,6 +107,7 @@ def map_rows(df: DataFrame, fn: Callable[[Iterator[tuple]], Iterable[tuple]], sc
             for b in it:
                 yield from zip(*(c.to_pylist() for c in b.columns))
 
+        begin(owner)
         held: list[tuple] = []
         for row in fn(rows()):
             held.append(row)
@@ -83,15 +129,15 @@ class WordEncoder:
 
     The tokenizer lower-cases, drops white space and merges inside words only, so the ids of a text are those of its
     words one after another; each distinct word goes through the library. A word of Latin letters and marks behind
-    them is looked up as two. At most ``limit`` words and as many stems are kept.
+    them is looked up as two. Words and stems are kept within ``KEPT_BYTES`` each.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.limit = Tokenizer.from_file(path), limit
-        self.known: dict[str, bytes] = {"": b""}
-        self.stems: dict[str, bytes] = {}
+        self.tokenizer = Tokenizer.from_file(path)
+        self.known, self.stems = Memory(), Memory()
+        self.known[""] = b""
 
     @staticmethod
     def shared(path: str) -> WordEncoder:
@@ -121,9 +167,8 @@ class WordEncoder:
         for w, (stem, marks) in split.items():
             tail = new[marks] if marks in new else self.known[marks]
             new[w] = (stems[stem] if stem in stems else self.stems[stem]) + tail
-        for kept, more in ((self.stems, stems), (self.known, new)):
-            room = self.limit - len(kept)
-            kept.update(more if len(more) <= room else islice(more.items(), max(0, room)))
+        self.stems.keep(stems.items())
+        self.known.keep(new.items())
         return new
 
     def letters(self, stems: set[str]) -> dict[str, bytes]:

@@ -8,6 +8,7 @@ forward pass; a text's score multiplies its words. Both passes run on arrays of
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -16,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyflow.llm.common import map_rows, prepare, written
+from skyflow.llm.common import ENTRY_BYTES, KEPT_BYTES, LONGEST_KEY, begin, map_rows, numbered, prepare, worker_state, written
 
 #: Rows of each language that the fit uses, about; chosen by hash of the id.
 FIT_ROWS = 1000
@@ -25,7 +26,6 @@ FLOOR = 1e-6
 #: Words up to this length go through the passes as arrays; longer ones one by one.
 LONG = 32
 LONGEST_PIECE = 16
-KEPT_WORDS = 300_000
 _WORD = re.compile(r"[^\W\d_]+")
 START = "▁"
 
@@ -48,7 +48,8 @@ def vocabulary(path: str) -> list[str]:
 
 
 class Trie:
-    """Dense trie over the pieces; ``step[node, class]`` is the next node or 0, ``piece[node]`` its piece or -1."""
+    """Trie over the pieces; ``key`` has node and class of every edge in order, ``to`` where it leads, ``piece[node]`` the
+    node's piece or -1."""
 
     def __init__(self, pieces: list[str]):
         self.classes = {c: i + 1 for i, c in enumerate(sorted(set("".join(pieces))))}
@@ -64,27 +65,34 @@ class Trie:
                     ends.append(-1)
                 at = nodes[at][k]
             ends[at] = i
-        self.step = np.zeros((len(nodes), len(self.classes) + 1), np.int32)
-        for n, to in enumerate(nodes):
-            for k, v in to.items():
-                self.step[n, k] = v
+        self.wide = len(self.classes) + 1
+        edges = sorted((n * self.wide + k, v) for n, to in enumerate(nodes) for k, v in to.items())
+        self.key, self.to = np.array([k for k, _ in edges], np.int64), np.array([v for _, v in edges], np.int64)
         self.piece = np.array(ends, np.int32)
 
+    def step(self, node: np.ndarray, kind: np.ndarray) -> np.ndarray:
+        """The next nodes, 0 where there is none."""
+        if not len(self.key):
+            return np.zeros_like(node)
+        key = node * self.wide + kind
+        at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+        return np.where(self.key[at] == key, self.to[at], 0)
+
     def edges(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Pieces found in words: columns (end, length, word, piece), by end and length; and the words' lengths.
 
         Every single character is an edge, with piece -1 where it is no piece.
         """
         sizes = np.array([len(w) for w in words])
-        chars = np.zeros((len(words), int(sizes.max())), np.int32)
+        chars = np.zeros((len(words), int(sizes.max())), np.int64)
         get = self.classes.get
         chars[np.arange(chars.shape[1]) < sizes[:, None]] = [get(c, 0) for w in words for c in w]
         row, start = np.nonzero(np.arange(chars.shape[1]) < sizes[:, None])
-        node, found = np.ones(len(row), np.int32), []
+        node, found = np.ones(len(row), np.int64), []
         for length in range(1, LONGEST_PIECE + 1):
             inside = start + length <= sizes[row]
             row, start, node = row[inside], start[inside], node[inside]
-            node = self.step[node, chars[row, start + length - 1]]
+            node = self.step(node, chars[row, start + length - 1])
             keep = np.ones(len(row), bool) if length == 1 else self.piece[node] >= 0
             found.append(np.stack([start[keep] + length, np.full(keep.sum(), length), row[keep], self.piece[node[keep]]], 1))
             alive = node > 0
@@ -139,13 +147,19 @@ def long_word(trie: Trie, prob: np.ndarray, word: str) -> np.ndarray:
     ring = np.zeros((LONGEST_PIECE + 1, prob.shape[1]))
     ring[0] = 1
     scale = np.zeros(prob.shape[1])
-    codes = [trie.classes.get(c, 0) for c in word]
+    codes = np.array([trie.classes.get(c, 0) for c in word], np.int64)
     for i in range(len(codes)):
+        if i % 4096 == 0:  # nodes from the next places on, by length
+            places = np.arange(i, min(i + 4096, len(codes)))
+            nodes = [np.ones(len(places), np.int64)]
+            for k in range(LONGEST_PIECE):
+                ahead = np.minimum(places + k, len(codes) - 1)
+                nodes.append(np.where(places + k < len(codes), trie.step(nodes[-1], codes[ahead]), 0))
+            found = np.array(nodes).T.tolist()
         now = ring[0].copy()
         ring[:-1], ring[-1] = ring[1:].copy(), 0
-        node = 1
         for length in range(1, min(LONGEST_PIECE, len(codes) - i) + 1):
-            node = int(trie.step[node, codes[i + length - 1]])
+            node = found[i % 4096][length]
             piece = int(trie.piece[node])
             if length == 1 or piece >= 0:
                 ring[length - 1] += now * (prob[piece] + (FLOOR if length == 1 else 0))
@@ -162,6 +176,7 @@ class LanguageModel:
 
     def __init__(self, langs: list[str], pieces: list[str], prob: np.ndarray):
         self.langs = langs
+        prob = prob[: len(pieces)]
         used = np.flatnonzero((prob > 1e-9).any(1)) if langs else np.zeros(0, int)
         self.pieces, self.prob = [pieces[i] for i in used], np.vstack([prob[used], np.zeros((1, prob.shape[1]))])
         self.trie = Trie(self.pieces)
@@ -182,22 +197,33 @@ class LanguageModel:
 
 
 class WordScores:
-    """Log probabilities of words by language; new words of a batch are scored together, a bounded number is kept."""
+    """Log probabilities of words by language; new words of a batch are scored together. Words are kept within
+    ``KEPT_BYTES``, long ones not beyond their batch."""
 
     def __init__(self, model: LanguageModel):
-        self.model, self.place = model, {}
-        self.values = np.zeros((0, len(model.langs)))
+        self.model = model
+        self.clear()
+
+    def clear(self) -> None:
+        self.place: dict[str, int] = {}
+        self.values, self.bytes = np.zeros((0, len(self.model.langs))), 0
 
     def batch(self, texts: list[list[str]]) -> list[np.ndarray]:
-        if len(self.place) > KEPT_WORDS:
-            self.place, self.values = {}, self.values[:0]
+        if self.bytes > KEPT_BYTES:
+            self.clear()
         place = self.place
-        new = list({w for t in texts for w in t if w not in place})
+        new = sorted({w for t in texts for w in t if w not in place}, key=len)
         if new:
-            self.place.update(zip(new, range(len(self.values), len(self.values) + len(new))))
-            self.values = np.concatenate([self.values, self.model.log_words(new)])
-        get = self.place.__getitem__
-        return [self.values[np.fromiter(map(get, t), np.int64, len(t))].sum(0) for t in texts]
+            old = self.values
+            place.update(zip(new, range(len(old), len(old) + len(new))))
+            self.values = np.concatenate([old, self.model.log_words(new)])
+        get = place.__getitem__
+        out = [self.values[np.fromiter(map(get, t), np.int64, len(t))].sum(0) for t in texts]
+        while new and len(new[-1]) > LONGEST_KEY:  # these have the last places
+            del place[new.pop()]
+        self.values = self.values[: len(place)]
+        self.bytes += sum(map(len, new)) + len(new) * (ENTRY_BYTES + 8 * len(self.model.langs))
+        return out
 
 
 def sample(docs: DataFrame, rows: int) -> tuple[DataFrame, list[str]]:
@@ -214,7 +240,8 @@ def sample(docs: DataFrame, rows: int) -> tuple[DataFrame, list[str]]:
 def fit(docs: DataFrame, vocabulary_path: str, rows: int = FIT_ROWS, rounds: int = 3) -> LanguageModel:
     """Learns from the rows of ``docs`` with a language, about ``rows`` of each chosen by hash of the id.
 
-    Null languages, ids and texts are left out. No such rows: a model of no languages.
+    Null languages, ids and texts are left out. No such rows: a model of no languages. Words of ``LONG`` letters or more
+    are learned in cuts of fewer.
     """
     spark = prepare(docs.sparkSession)
     picked, langs = sample(docs, rows)
@@ -222,7 +249,7 @@ def fit(docs: DataFrame, vocabulary_path: str, rows: int = FIT_ROWS, rounds: int
     def count(items: Iterator[tuple]) -> Iterator[tuple]:
         seen: Counter = Counter()
         for lang, text in items:
-            seen.update((lang, w) for w in words_of(text) if len(w) < LONG)
+            seen.update((lang, w[k : k + LONG - 1]) for w in words_of(text) for k in range(0, len(w), LONG - 1))
             if len(seen) > 500_000:
                 yield from ((a, b, n) for (a, b), n in seen.items())
                 seen.clear()
@@ -270,11 +297,13 @@ def predicted(text: Column, model: LanguageModel, spark) -> Column:
 
     ``und`` with score 0 for texts that are null or have no letter; equal scores go to the language first by name.
     """
-    sent = spark.sparkContext.broadcast(model)
+    # plain values: a broadcast is pickled by reference, and workers need not have this package
+    sent, key = spark.sparkContext.broadcast((model.langs, model.pieces, model.prob)), uuid.uuid4().hex
 
     @F.pandas_udf("lang_pred string, score double, per_letter double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        m = sent.value
+        begin(key)
+        m = worker_state((key, "language"), lambda: LanguageModel(*sent.value))
         scores = WordScores(m)
         for texts in batches:
             texts = texts.tolist()
@@ -311,5 +340,8 @@ def least_per_letter(docs: DataFrame, model: LanguageModel, rows: int = FIT_ROWS
 def identify(docs: DataFrame, vocabulary_path: str, train_docs: DataFrame | None = None) -> DataFrame:
     """All rows and columns of ``docs`` with ``lang_pred`` and ``score`` (replaced if there)."""
     model = fit(train_docs if train_docs is not None else docs, vocabulary_path)
-    got = docs.withColumn("_lang", predicted(F.col("text"), model, docs.sparkSession))
-    return got.withColumns({"lang_pred": F.col("_lang.lang_pred"), "score": F.col("_lang.score")}).drop("_lang")
+    docs = docs.drop("lang_pred", "score")
+    plain = numbered(docs)
+    text = F.col(plain.columns[docs.columns.index("text")])
+    got = plain.withColumn("found", predicted(text, model, docs.sparkSession))
+    return got.select(*plain.columns, "found.lang_pred", "found.score").toDF(*docs.columns, "lang_pred", "score")

@@ -13,11 +13,12 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from skyflow.llm.common import ASCII_SPACE, map_rows, prepare, written
+from skyflow.llm.common import ASCII_SPACE, begin, map_rows, numbered, prepare, written
 
 SEGMENT_BITS = 16
-#: The filter has 16 bits for each line, within these powers of two; 2**28 bits are 32 MB on each worker.
+#: The filter has 16 bits for each line, within these powers of two; 2**28 bits are 32 MB a filter in each task.
 #: Beyond that more lines pass the filter and are shuffled; the result stays exact.
 LEAST_BITS, MOST_BITS = 20, 28
 _STRIP = ASCII_SPACE.encode()
@@ -42,17 +43,29 @@ def positions(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return base | (hashes & inner), base | ((hashes >> np.uint64(20)) & inner)
 
 
+def read_bits(packed: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return (packed[at >> np.uint64(3)] >> (np.uint64(7) - (at & np.uint64(7))).astype(np.uint8)) & 1 > 0
+
+
+def set_bits(packed: np.ndarray, at: np.ndarray) -> None:
+    if len(at):
+        at = np.sort(at)
+        byte = (at >> np.uint64(3)).astype(np.int64)
+        first = np.flatnonzero(np.r_[True, byte[1:] != byte[:-1]])
+        packed[byte[first]] |= np.bitwise_or.reduceat((128 >> (at & np.uint64(7)).astype(np.int64)).astype(np.uint8), first)
+
+
 def _task_filters(rows: Iterator[tuple], bits: int, least: int) -> Iterator[tuple]:
     from xxhash import xxh3_64_intdigest
 
-    once, twice = np.zeros(1 << bits, bool), np.zeros(1 << bits, bool)
+    once, twice = np.zeros(1 << (bits - 3), np.uint8), np.zeros(1 << (bits - 3), np.uint8)
 
     def add(hashes: list[int]) -> None:
         h, n = np.unique(np.array(hashes, np.uint64), return_counts=True)
         a, b = positions(h, bits)
-        again = (n > 1) | (once[a] & once[b])
-        once[a], once[b] = True, True
-        twice[a[again]], twice[b[again]] = True, True
+        again = (n > 1) | (read_bits(once, a) & read_bits(once, b))
+        set_bits(once, np.concatenate([a, b]))
+        set_bits(twice, np.concatenate([a[again], b[again]]))
 
     held: list[int] = []
     for (text,) in rows:
@@ -62,9 +75,9 @@ def _task_filters(rows: Iterator[tuple], bits: int, least: int) -> Iterator[tupl
             held = []
     if held:
         add(held)
-    for k in np.flatnonzero(once.reshape(-1, 1 << SEGMENT_BITS).any(1)):
-        part = slice(int(k) << SEGMENT_BITS, (int(k) + 1) << SEGMENT_BITS)
-        yield int(k), *(zlib.compress(np.packbits(x[part]).tobytes(), 1) for x in (once, twice))
+    once, twice = (x.reshape(-1, 1 << (SEGMENT_BITS - 3)) for x in (once, twice))
+    for k in np.flatnonzero(once.any(1)):
+        yield int(k), *(zlib.compress(x[k].tobytes(), 1) for x in (once, twice))
 
 
 def _merge(rows: Iterator[tuple]) -> Iterator[tuple]:
@@ -104,8 +117,7 @@ def suspects(docs: DataFrame, least: int = 10) -> DataFrame:
             keys = sorted(keys_of(text, least)) if doc_id is not None else ()
             if keys:
                 a, b = positions(np.array([xxh3_64_intdigest(k) for k in keys], np.uint64), bits)
-                hit = [(packed[p >> np.uint64(3)] >> (np.uint64(7) - (p & np.uint64(7))).astype(np.uint8)) & 1 for p in (a, b)]
-                for i in np.flatnonzero(hit[0] & hit[1]):
+                for i in np.flatnonzero(read_bits(packed, a) & read_bits(packed, b)):
                     yield doc_id, keys[i]
 
     return map_rows(docs.select("doc_id", "text"), probe, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, key binary")
@@ -121,21 +133,26 @@ def dedup_lines(docs: DataFrame, least: int = 10) -> DataFrame:
     """
     prepare(docs.sparkSession)
     found = written(suspects(docs, least), "lines")
-    first = found.groupBy("key").agg(F.min("doc_id").alias("_first"), F.max("doc_id").alias("_last"))
+    first = found.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     # written, so that the join deals both sides anew and AQE can split the rows of a line that most documents have
-    first = written(first.where("_first < _last").select("key", "_first"), "repeated-lines")
-    drops = found.join(first, "key").where("doc_id > _first").groupBy("doc_id").agg(F.collect_set("key").alias("_drop"))
-    carried = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    joined = docs.select(*carried).join(drops, "doc_id", "left").select(*carried, "_drop")
-    at, drop_at = carried.index("text"), len(carried)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema if f.name != "_drop")
+    first = written(first.where("first < last").select("key", "first"), "repeated-lines")
+    drops = found.join(first, "key").where("doc_id > first").groupBy("doc_id").agg(F.collect_set("key").alias("drop"))
+    docs = docs.drop("n_lines", "n_dropped")
+    names, plain = docs.columns, numbered(docs)
+    at, id_at, columns = names.index("text"), names.index("doc_id"), plain.columns
+    drops = drops.select(F.col("doc_id").alias("id"), "drop")
+    # rows without an id meet no drops: a null key would bring them all into one task
+    plain = plain.withColumn("spread", F.when(F.col(columns[id_at]).isNull(), -F.rand(1)).otherwise(F.lit(0.0)))
+    joined = plain.join(drops.withColumn("zero", F.lit(0.0)), (plain[columns[id_at]] == F.col("id")) & (F.col("spread") == F.col("zero")), "left").select(*columns, "drop")
+    fields = [StructField(columns[at], StringType()) if i == at else f for i, f in enumerate(joined.schema.fields[:-1])]
 
     def strip(batches):
         import pyarrow as pa
 
+        begin()
         for b in batches:
             texts, n_lines, n_dropped = [], [], []
-            for text, drop in zip(b.column(at).to_pylist(), b.column(drop_at).to_pylist()):
+            for text, drop in zip(b.column(at).to_pylist(), b.column(len(columns)).to_pylist()):
                 lines = (text or "").encode().split(b"\n")
                 kept = lines
                 if drop:
@@ -144,7 +161,8 @@ def dedup_lines(docs: DataFrame, least: int = 10) -> DataFrame:
                 texts.append(b"\n".join(kept).decode())
                 n_lines.append(len(lines))
                 n_dropped.append(len(lines) - len(kept))
-            columns = [pa.array(texts, pa.string()) if i == at else b.column(i) for i in range(drop_at)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())], names=[*carried, "n_lines", "n_dropped"])
+            found = [pa.array(texts, pa.string()) if i == at else b.column(i) for i in range(len(columns))]
+            yield pa.RecordBatch.from_arrays([*found, pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())], names=[*columns, "n_lines", "n_dropped"])
 
-    return joined.mapInArrow(strip, f"{fields}, n_lines long, n_dropped long")
+    out = StructType([*fields, StructField("n_lines", LongType()), StructField("n_dropped", LongType())])
+    return joined.mapInArrow(strip, out).toDF(*names, "n_lines", "n_dropped")

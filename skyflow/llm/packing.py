@@ -15,8 +15,9 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from skyflow.llm.common import WordEncoder, map_rows, prepare, written
+from skyflow.llm.common import WordEncoder, map_rows, numbered, prepare, written
 
 STEP, MOST_PARTS = 8, 3
 #: Rows that are ranked together; equal lengths beyond that are split.
@@ -43,7 +44,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int
 
     prepare(docs.sparkSession)
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return map_rows(docs.select("doc_id", "text"), cut, f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long")
+    return map_rows(docs.select("doc_id", "text"), cut, f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long", owner="words")
 
 
 def patterns(n: int, parts: int) -> list[tuple[int, ...]]:
@@ -91,12 +92,46 @@ def nnls(a: np.ndarray, b: np.ndarray, tol: float = 1e-9) -> np.ndarray:
 def plan(histogram: dict[int, int], size: int) -> np.ndarray:
     """Runs (length, first rank, past rank, first sequence, offset): equal-length pieces by rank get a place.
 
-    Rank r of a run lies in sequence ``first sequence + r - first rank`` at ``offset``.
+    Rank r of a run lies in sequence ``first sequence + r - first rank`` at ``offset``. Repeat counts are rounded to the
+    nearest and down, and patterns are left out altogether, which is best fit alone; the fewest sequences win.
     """
-    left = np.zeros(size + 1, np.int64)
+    total = np.zeros(size + 1, np.int64)
     for length, n in histogram.items():
-        left[length] = n
-    total = left.copy()
+        total[length] = n
+    bins = -(-size // STEP)
+    shapes = patterns(bins, MOST_PARTS)
+    a = np.zeros((bins, len(shapes)))
+    for j, shape in enumerate(shapes):
+        for part in shape:
+            a[part - 1, j] += 1
+    heavy = np.arange(1, bins + 1) / bins  # a missed token weighs the same in any length
+    want = slots(total, size).astype(float)
+    scale = max(1.0, want.max())
+    x = nnls(a * heavy[:, None], want / scale * heavy) * scale
+    tries = [fill(total, size, shapes, repeats) for repeats in (np.floor(x + 0.5), np.floor(x), np.zeros(len(x)))]
+    done = min(tries, key=lambda d: sum(n for n, _ in d))
+    runs, taken, sequence = [], np.zeros(size + 1, np.int64), 0
+    for n, items in done:
+        offset = 0
+        for length in items:
+            runs.append((length, taken[length], taken[length] + n, sequence, offset))
+            taken[length] += n
+            offset += length
+        sequence += n
+    assert (taken == total).all()
+    out = np.array(runs, np.int64).reshape(-1, 5)
+    return out[np.lexsort((out[:, 1], out[:, 0]))]
+
+
+def slots(left: np.ndarray, size: int) -> np.ndarray:
+    """Counts by length in steps of ``STEP``."""
+    bins = -(-size // STEP)
+    return np.add.reduceat(np.append(left[1:], np.zeros(bins * STEP - size, np.int64)), np.arange(0, bins * STEP, STEP))
+
+
+def fill(total: np.ndarray, size: int, shapes: list[tuple[int, ...]], repeats: np.ndarray) -> list[tuple[int, tuple[int, ...]]]:
+    """(sequences, lengths in each) for all pieces: the patterns with their repeat counts first, the rest by best fit."""
+    left = total.copy()
     gaps: dict[int, list[tuple[int, tuple[int, ...]]]] = {}  # free tokens: classes of (sequences, lengths inside)
     sizes: list[int] = []
     done: list[tuple[int, tuple[int, ...]]] = []
@@ -110,22 +145,11 @@ def plan(histogram: dict[int, int], size: int) -> np.ndarray:
                 bisect.insort(sizes, free)
             gaps[free].append((n, items))
 
-    bins = -(-size // STEP)
-    slots = lambda: np.add.reduceat(np.append(left[1:], np.zeros(bins * STEP - size, np.int64)), np.arange(0, bins * STEP, STEP))
-    shapes = patterns(bins, MOST_PARTS)
-    a = np.zeros((bins, len(shapes)))
-    for j, shape in enumerate(shapes):
-        for part in shape:
-            a[part - 1, j] += 1
-    heavy = np.arange(1, bins + 1) / bins  # a missed token weighs the same in any length
-    want = slots().astype(float)
-    scale = max(1.0, want.max())
-    x = nnls(a * heavy[:, None], want / scale * heavy) * scale
-    for j in np.argsort(-x, kind="stable"):
-        n = int(x[j] + 0.5)
+    for j in np.argsort(-repeats, kind="stable"):
+        n = int(repeats[j])
         if not n:
             break
-        free = slots()
+        free = slots(left, size)
         n = min([n, *(int(free[p - 1]) // shapes[j].count(p) for p in set(shapes[j]))])
         classes = [(n, (), size)] if n else []
         for k, part in enumerate(shapes[j]):
@@ -173,39 +197,36 @@ def plan(histogram: dict[int, int], size: int) -> np.ndarray:
 
     for room, classes in gaps.items():
         done += [(n, items) for n, items in classes if items]
-    runs, taken, sequence = [], np.zeros(size + 1, np.int64), 0
-    for n, items in done:
-        offset = 0
-        for length in items:
-            runs.append((length, taken[length], taken[length] + n, sequence, offset))
-            taken[length] += n
-            offset += length
-        sequence += n
-    assert (taken == total).all()
-    out = np.array(runs, np.int64).reshape(-1, 5)
-    return out[np.lexsort((out[:, 1], out[:, 0]))]
+    return done
 
 
 def pack(pieces: DataFrame, size: int = 2048) -> DataFrame:
     """``pieces`` with sequence_id and offset; sequences hold at most ``size`` and are gapless from 0.
 
-    ``pieces`` needs doc_id, piece and length (1 to ``size``); its other columns are carried, but for clashing
-    ``sequence_id`` and ``offset``, which are replaced. Repeated rows are packed each. No rows give no rows.
+    ``pieces`` needs doc_id, piece and length (1 to ``size``; a null length takes no part); its other columns are
+    carried, but for clashing ``sequence_id`` and ``offset``, which are replaced. Repeated rows and null ids are packed
+    each. No rows give no rows.
     """
     spark = pieces.sparkSession
-    table = written(pieces.drop("sequence_id", "offset"), "pieces")
+    pieces = pieces.drop("sequence_id", "offset")
+    names = pieces.columns
+    length = F.col(f"c{names.index('length')}").cast("long")
+    table = numbered(pieces).withColumns({"length": length, "row": F.monotonically_increasing_id()}).where("length is not null")
+    table = written(table, "pieces")
     histogram = {r["length"]: r["n"] for r in table.groupBy("length").agg(F.count("*").alias("n")).collect()}
     runs = plan(histogram, size) if histogram else np.zeros((0, 5), np.int64)
-    # at most `size` rows: lengths, and into how many parts their rows are dealt for ranking
-    parts = F.broadcast(spark.createDataFrame([(k, -(-n // RANKED)) for k, n in histogram.items()], "length long, _parts long"))
-    dealt = table.join(parts, "length").withColumn("_part", F.pmod(F.xxhash64("doc_id", "piece"), "_parts"))
-    before = dealt.groupBy("length", "_part").agg(F.count("*").alias("_n"))
-    so_far = Window.partitionBy("length").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    before = before.select("length", "_part", F.coalesce(F.sum("_n").over(so_far), F.lit(0)).alias("_before"))
-    order = Window.partitionBy("length", "_part").orderBy("doc_id", *(c for c in table.columns if c not in ("doc_id", "length")))
-    ranked = dealt.withColumn("_rank", F.row_number().over(order)).join(before, ["length", "_part"])
-    ranked = ranked.select(*table.columns, (F.col("_before") + F.col("_rank") - 1).alias("_rank"))
-    names, sent = table.columns, spark.sparkContext.broadcast(runs)  # the plan: bounded by `size`
+    # at most `size` rows: lengths, and into how many parts their rows are dealt for ranking, by row number, so that ids
+    # that repeat don't meet in one part
+    parts = F.broadcast(spark.createDataFrame([(k, -(-n // RANKED)) for k, n in histogram.items()], "length long, parts long"))
+    dealt = table.join(parts, "length").withColumn("part", F.pmod(F.xxhash64("row"), "parts"))
+    before = dealt.groupBy("length", "part").agg(F.count("*").alias("n"))
+    so_far = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = before.select("length", "part", F.coalesce(F.sum("n").over(so_far), F.lit(0)).alias("before"))
+    order = Window.partitionBy("length", "part").orderBy("row")
+    ranked = dealt.withColumn("nth", F.row_number().over(order)).join(before, ["length", "part"])
+    columns = [f"c{i}" for i in range(len(names))]
+    ranked = ranked.select(*columns, "length", (F.col("before") + F.col("nth") - 1).alias("rank"))
+    sent = spark.sparkContext.broadcast(runs)  # the plan: bounded by `size`
 
     def place(batches):
         import pyarrow as pa
@@ -213,10 +234,10 @@ def pack(pieces: DataFrame, size: int = 2048) -> DataFrame:
         r = sent.value
         keys = (r[:, 0] << 44) + r[:, 1]
         for b in batches:
-            length, rank = b.column("length").to_numpy(), b.column("_rank").to_numpy()
+            length, rank = b.column("length").to_numpy(), b.column("rank").to_numpy()
             at = np.searchsorted(keys, (length << 44) + rank, side="right") - 1
-            columns = [b.column(c) for c in names] + [pa.array(r[at, 3] + rank - r[at, 1]), pa.array(r[at, 4])]
-            yield pa.RecordBatch.from_arrays(columns, names=[*names, "sequence_id", "offset"])
+            found = [b.column(c) for c in columns] + [pa.array(r[at, 3] + rank - r[at, 1]), pa.array(r[at, 4])]
+            yield pa.RecordBatch.from_arrays(found, names=[*columns, "sequence", "place"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.schema)
-    return ranked.mapInArrow(place, f"{fields}, sequence_id long, offset long")
+    fields = StructType([*ranked.schema.fields[: len(names)], StructField("sequence", LongType()), StructField("place", LongType())])
+    return ranked.mapInArrow(place, fields).toDF(*names, "sequence_id", "offset")

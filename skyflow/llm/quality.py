@@ -16,13 +16,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyflow.llm.common import map_rows, prepare
+from skyflow.llm.common import ENTRY_BYTES, KEPT_BYTES, LONGEST_KEY, begin, map_rows, numbered, prepare, written
 
 #: Hash places of words and n-grams, and length of their vectors.
 BUCKETS, WIDTH = 1 << 17, 8
 #: Labelled rows that the fit uses, about; chosen by hash of the id when there are more.
 FIT_ROWS = 3000
-KEPT_WORDS = 300_000
+#: Hash places of all rows of the fit together, at most; bounds the bytes that come to the driver (8 a place).
+FIT_PLACES = 1 << 25
 
 
 def places(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -104,35 +105,45 @@ class SubwordModel:
         return (np.bincount(np.repeat(np.arange(len(n)), n), self.place_score[found], len(n)) / n).tolist()
 
     def scores(self, texts: list[str | None], known: dict[str, float]) -> list[float]:
-        """Probabilities of class 1; ``known`` keeps a bounded number of words."""
+        """Probabilities of class 1; ``known`` keeps words within ``KEPT_BYTES``, long ones not at all."""
         split = [(t or "").split() for t in texts]
-        if len(known) > KEPT_WORDS:
+        if len(known) * (ENTRY_BYTES + LONGEST_KEY // 4) > KEPT_BYTES:
             known.clear()
         new = list({w for words in split for w in words if w not in known})
         if new:
             known.update(zip(new, self.word_scores(new)))
         get = known.__getitem__
         odds = np.array([self.bias + (sum(map(get, w)) / len(w) if w else 0.0) for w in split])
+        for w in new:
+            if len(w) > LONGEST_KEY:
+                del known[w]
         return (1 / (1 + np.exp(-np.clip(odds, -500, 500)))).tolist()
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = FIT_ROWS) -> SubwordModel:
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = FIT_ROWS, places: int = FIT_PLACES) -> SubwordModel:
     """Learns from the labelled rows of ``docs``, about ``rows`` of them chosen by hash of the id.
 
-    Null ids and labels other than 0 and 1 are left out. The sample's size does not depend on the data's.
+    Null ids and labels other than 0 and 1 are left out, and so are ids with both labels. The sample's size does not
+    depend on the data's: where its texts have more than ``places`` hash places, ids with the largest hashes go.
     """
     prepare(docs.sparkSession)
-    known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", F.col(label).cast("int").alias("_label"))
+    known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id")
+    known = known.agg(F.min(label).cast("int").alias("label"), F.max(label).cast("int").alias("other")).where("label = other").drop("other")
     share = rows / max(1, known.count())
-    known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    order = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    known = known.withColumn("order", order).where(F.col("order") < int(share * (1 << 30)))
     # about `rows` ids are sent
-    picked = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select(F.col("doc_id").cast("string"), "text", "_label")
+    picked = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select(F.col("doc_id").cast("string"), "order", "text", "label")
 
     def extract(items: Iterator[tuple]) -> Iterator[tuple]:
-        for doc_id, text, y in items:
-            yield doc_id, *text_features(text), y
-
-    got = map_rows(picked, extract, "doc_id string, places array<int>, weights array<float>, label int", 100).orderBy("doc_id").toArrow()
+        for doc_id, order, text, y in items:
+            yield doc_id, order, *text_features(text), y
+
+    got = written(map_rows(picked, extract, "doc_id string, order long, places array<int>, weights array<float>, label int", 100), "features")
+    sizes = got.groupBy("order").agg(F.sum(F.size("places") + F.lit(100)).alias("n")).orderBy("order").collect()  # one a picked id
+    fits = np.cumsum([r["n"] for r in sizes]) <= places
+    last = sizes[int(fits.sum()) - 1]["order"] if fits.any() else -1
+    got = got.where(F.col("order") <= last).orderBy("doc_id").toArrow()
     place, weight = got.column("places").combine_chunks(), got.column("weights").combine_chunks()
     ends, place, weight = np.asarray(place.offsets), place.values.to_numpy(), weight.values.to_numpy()
     return SubwordModel.train([(place[a:b], weight[a:b], y) for a, b, y in zip(ends, ends[1:], got.column("label").to_pylist())])
@@ -140,11 +151,13 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int =
 
 def scored(text: Column, model: SubwordModel, spark) -> Column:
     """Score of a text column, 0 to 1; null and empty texts get the share of class 1."""
-    sent = spark.sparkContext.broadcast(model)  # BUCKETS numbers
+    # BUCKETS numbers, as plain values: a broadcast is pickled by reference, and workers need not have this package
+    sent = spark.sparkContext.broadcast((model.place_score, model.bias))
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        m, known = sent.value, {}
+        begin()
+        m, known = SubwordModel(*sent.value), {}
         for texts in batches:
             texts = texts.tolist()
             parts = [m.scores(texts[lo : lo + 250], known) for lo in range(0, len(texts), 250)]
@@ -156,4 +169,7 @@ def scored(text: Column, model: SubwordModel, spark) -> Column:
 def classify(docs: DataFrame, labels: DataFrame, train_docs: DataFrame | None = None) -> DataFrame:
     """All rows and columns of ``docs`` with ``score`` (replaced if there), learned on ``train_docs`` or ``docs``."""
     model = fit(train_docs if train_docs is not None else docs, labels)
-    return docs.withColumn("score", scored(F.col("text"), model, docs.sparkSession))
+    docs = docs.drop("score")
+    plain = numbered(docs)
+    text = F.col(plain.columns[docs.columns.index("text")])
+    return plain.withColumn("score", scored(text, model, docs.sparkSession)).toDF(*docs.columns, "score")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyflow.llm.common import prepare, written
+from skyflow.llm.common import begin, prepare, written
 from skyflow.llm.components import components
 
 #: Fingerprints of a shard, about, when they are spread evenly.
@@ -51,6 +51,7 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
     """doc_id and fingerprint (signed long) of every row; other columns are not looked at."""
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin()
         for b in it:
             prints = np.array([fingerprint(t, words) for t in b.column("text").to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(prints)], names=["doc_id", "fingerprint"])
@@ -59,15 +60,15 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(batches, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fingerprint long")
 
 
-def with_fingerprint(docs: DataFrame, name: str, words: int = 3) -> DataFrame:
-    """``docs`` with the fingerprint (signed long) of every row's text."""
+def with_fingerprint(docs: DataFrame, name: str, words: int = 3, text: str = "text") -> DataFrame:
+    """``docs`` with the fingerprint (signed long) of every row's text, the column ``text``."""
 
     @F.pandas_udf("long")
     def of(texts: pd.Series) -> pd.Series:
         return pd.Series(np.array([fingerprint(t, words) for t in texts], np.uint64).view(np.int64))
 
     prepare(docs.sparkSession)
-    return docs.withColumn(name, of("text"))
+    return docs.withColumn(name, of(text))
 
 
 def shards(radius: int, number: int) -> list[int]:
@@ -227,6 +228,7 @@ def linked(prints: DataFrame, radius: int = 3, shortest: bool = False) -> DataFr
     """
 
     def find(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin()
         held = list(it)
         if not held:
             return
@@ -265,6 +267,7 @@ def unjoined(open_: DataFrame, radius: int, forests: int) -> DataFrame:
     keys = ["shard", "bits", "part", "tree"]
 
     def find(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin()
         held = list(it)
         if not held:
             return
@@ -335,6 +338,7 @@ def confirmed(links: DataFrame, ids: DataFrame, docs: DataFrame, words: int, shi
             yield b.filter(pa.array(np.array(same, np.uint64).view(np.int64) == b.column("fingerprint").to_numpy()))
 
     def alike(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin()
         for batch in it:
             keep = []
             for s, t in zip(batch.column("s"), batch.column("t")):

@@ -63,7 +63,7 @@ def line_token_counts(docs: DataFrame, ranks_path: str, pattern: str) -> DataFra
     prepare(docs.sparkSession)
 
     def count(rows: Iterator[tuple]) -> Iterator[tuple]:
-        spans = worker_state(("spans", ranks_path, pattern), lambda: Spans(ranks_path, pattern))
+        spans = worker_state(("bpe", "spans", ranks_path, pattern), lambda: Spans(ranks_path, pattern))
         for doc_id, text in rows:
             lines = (text or "").split("\n")
             sizes = np.array([len(x.encode()) + 1 for x in lines], np.int64)
@@ -74,4 +74,4 @@ def line_token_counts(docs: DataFrame, ranks_path: str, pattern: str) -> DataFra
                 yield doc_id, i, len(line) + (i + 1 < len(lines)), int(tokens[i]), int(crossing[i])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return map_rows(docs.select("doc_id", "text"), count, f"doc_id {id_type}, section int, n_chars long, n_tokens long, n_crossing long")
+    return map_rows(docs.select("doc_id", "text"), count, f"doc_id {id_type}, section int, n_chars long, n_tokens long, n_crossing long", owner="bpe")

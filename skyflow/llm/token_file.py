@@ -40,7 +40,7 @@ def token_ids(docs: DataFrame, tokenizer: str, end_id: int = 2) -> DataFrame:
             yield doc_id, np.frombuffer(encoder.encode(text or "") + end, "<u4").astype(f"<u{width}").tobytes(), width
 
     prepare(docs.sparkSession)
-    return map_rows(docs.select("doc_id", "text"), encode, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids binary, width int", 500)
+    return map_rows(docs.select("doc_id", "text"), encode, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids binary, width int", 500, "words")
 
 
 def code_lengths(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:
