@@ -35,24 +35,27 @@ def own_cell(ra: Column, dec: Column, h: float) -> Column:
     return pack(zone_of(dec, h), F.least(n - 1, F.floor(F.pmod(ra, F.lit(360.0)) * n / 360.0)))
 
 
-def cell_height(radius_deg: float, factor: float = 4.0) -> float:
+def cell_height(radius_deg: float | Column, factor: float = 4.0) -> float | Column:
+    if isinstance(radius_deg, Column):
+        return F.greatest(radius_deg * factor, F.lit(MIN_CELL_DEG))
     return max(radius_deg * factor, MIN_CELL_DEG)
 
 
 def sky_cells(
-    df: DataFrame, ra: str, dec: str, radius_deg: float, *, copies: bool, h: float | None = None, out: str = "cell"
+    df: DataFrame, ra: str, dec: str, radius_deg: float | Column, *, copies: bool, h: float | Column | None = None, out: str = "cell"
 ) -> DataFrame:
-    """Add the cell key; with ``copies`` one row per cell the disc reaches."""
-    h = h or cell_height(radius_deg)
+    """Add the cell key; with ``copies`` one row per cell the disc reaches. Radius and height may be columns."""
+    h = cell_height(radius_deg) if h is None else h
     if not copies:
         return df.withColumn(out, own_cell(F.col(ra), F.col(dec), h))
     r = radius_deg + EDGE
     top = F.least(F.lit(90.0), F.abs(F.col(dec)) + r)
-    reach = F.lit(math.sin(math.radians(min(r, 180.0) / 2))) / F.greatest(F.cos(F.radians(top)), F.lit(1e-12))
+    chord = F.sin(F.radians(F.least(r, F.lit(180.0)) / 2)) if isinstance(r, Column) else F.lit(math.sin(math.radians(min(r, 180.0) / 2)))
+    reach = chord / F.greatest(F.cos(F.radians(top)), F.lit(1e-12))
     half = F.when(
         (F.lit(r) >= 90.0) | (reach >= 1.0), F.lit(180.0)
     ).otherwise(F.degrees(2 * F.asin(F.least(reach, F.lit(1.0)))) + EDGE)
-    last = math.floor(180.0 / h)
+    last = F.floor(180.0 / h) if isinstance(h, Column) else math.floor(180.0 / h)
     zones = F.sequence(
         F.greatest(F.lit(0), zone_of(F.col(dec) - r, h)), F.least(F.lit(last), zone_of(F.col(dec) + r, h))
     )

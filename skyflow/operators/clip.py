@@ -77,7 +77,8 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     for k in keys:
         c = F.col(k).eqNullSafe(F.col(f"_r_{k}"))
         cond = c if cond is None else cond & c
-    return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])
+    joined = left.join(renamed, cond, how)
+    return joined if how in ("left_anti", "left_semi") else joined.drop(*[f"_r_{k}" for k in keys])
 
 
 def clip_values(v: np.ndarray, sigma: float, maxiters: int | None) -> tuple[float, float, int]:
@@ -125,7 +126,7 @@ def clip_bounds(
             values.withColumn("_all", F.lit(1)), ["_all"], "_v", sigma, maxiters, large
         ).drop("_all")
     big = large_groups(values, keys, large, bound)
-    small = values if big is None else values.join(big, keys, "left_anti")
+    small = values if big is None else _null_safe_join(values, big, keys, "left_anti")
     schema = T.StructType(
         [values.schema[k] for k in keys]
         + [
@@ -141,7 +142,7 @@ def clip_bounds(
 
     bounds = small.groupBy(*keys).applyInPandas(one_group, schema)
     if big is not None:
-        distributed = _clip_passes(values.join(big, keys, "left_semi"), keys, sigma, maxiters)
+        distributed = _clip_passes(_null_safe_join(values, big, keys, "left_semi"), keys, sigma, maxiters)
         bounds = bounds.unionByName(distributed.select(*schema.names))
     return bounds
 
@@ -158,15 +159,15 @@ def _clip_passes(values: DataFrame, keys: list[str], sigma: float, maxiters: int
     while (maxiters is None or passes < maxiters) and not state.where(~F.col("_done")).isEmpty():
         kept = _within(values, state.where(~F.col("_done")), keys)
         spread = kept.groupBy(*keys).agg(F.stddev_pop("_v").alias("_std"))
-        limits = spread.join(exact_median(kept, keys, "_v", "_med"), keys)
+        limits = _null_safe_join(spread, exact_median(kept, keys, "_v", "_med"), keys, "inner")
         inside = F.abs(F.col("_v") - F.col("_med")) <= sigma * F.col("_std")
         narrowed = (
-            kept.join(limits, keys)
+            _null_safe_join(kept, limits, keys, "inner")
             .where(inside)
             .groupBy(*keys)
             .agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count("*").alias("_kept"))
         )
-        joined = state.join(narrowed, keys, "left")
+        joined = _null_safe_join(state, narrowed, keys, "left")
         moved = F.coalesce(F.col("_kept") < F.col("_n"), F.lit(False))
         state = cut_lineage(
             joined.select(
@@ -184,7 +185,7 @@ def _clip_passes(values: DataFrame, keys: list[str], sigma: float, maxiters: int
 
 def _within(values: DataFrame, bounds: DataFrame, keys: Sequence[str]) -> DataFrame:
     return (
-        values.join(bounds.select(*keys, "clip_lo", "clip_hi"), list(keys))
+        _null_safe_join(values, bounds.select(*keys, "clip_lo", "clip_hi"), list(keys), "inner")
         .where(F.col("_v").between(F.col("clip_lo"), F.col("clip_hi")))
         .drop("clip_lo", "clip_hi")
     )
@@ -222,7 +223,7 @@ def clip_summary(
     values = df.select(*keys, F.col(col).cast("double").alias("_v"))
     values = values.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
     big = large_groups(values, keys, large, bound)
-    small = values if big is None else values.join(big, keys, "left_anti")
+    small = values if big is None else _null_safe_join(values, big, keys, "left_anti")
     names = ["n_all", "n_kept", "mean", "median", "std", "rms"]
     schema = T.StructType(
         [values.schema[k] for k in keys]
@@ -239,7 +240,7 @@ def clip_summary(
     stats = small.groupBy(*keys).applyInPandas(one_group, schema)
     if big is None:
         return stats
-    huge = values.join(big, keys, "left_semi")
+    huge = _null_safe_join(values, big, keys, "left_semi")
     kept = _within(huge, _clip_passes(huge, keys, sigma, maxiters), keys)
     agg = kept.groupBy(*keys).agg(
         F.count("*").alias("n_kept"), F.avg("_v").alias("mean"), F.stddev_pop("_v").alias("std"),
@@ -247,5 +248,5 @@ def clip_summary(
     )
     totals = huge.groupBy(*keys).agg(F.count("*").alias("n_all"))
     return stats.unionByName(
-        totals.join(agg, keys).join(exact_median(kept, keys, "_v"), keys).select(*schema.names)
+        _null_safe_join(_null_safe_join(totals, agg, keys, "inner"), exact_median(kept, keys, "_v"), keys, "inner").select(*schema.names)
     )

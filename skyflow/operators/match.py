@@ -21,6 +21,8 @@ from skyflow.operators.cells import cell_height, own_cell, sky_cells
 
 # Reference positions per cell that are still compared directly.
 DENSE = 128
+# Radius classes (arcsec): the smallest, the step between two, and how many; the last holds the whole sky.
+CLASS_BASE, CLASS_STEP, CLASSES = 0.5, 4, 12
 # Cells of one key that may form the first level of a descent.
 ROOTS = 64
 # Nested cell sizes (degrees) of an all-sky descent, each 4 times finer.
@@ -92,7 +94,7 @@ def _spread(df: DataFrame, rid: str, cols, prefix: str, sep_col: str) -> DataFra
 def sky_match(
     left: DataFrame,
     right: DataFrame,
-    radius: float,
+    radius: float | Column,
     *,
     left_pos: tuple[str, str] = ("alpha_j2000", "delta_j2000"),
     right_pos: tuple[str, str] = ("raj2000", "dej2000"),
@@ -105,8 +107,11 @@ def sky_match(
     inclusive: bool = False,
     dense: int = DENSE,
     raw_col: str | None = None,
+    limit: Column | None = None,
 ) -> DataFrame:
-    """Nearest right row within ``radius`` arcsec of every left row.
+    """Nearest right row within ``radius`` arcsec of every left row; with ``limit``, closer than that column too.
+
+    A column as ``radius`` is an expression of ``keys``, which both sides have.
 
     Adds ``sep`` (arcsec, 6 decimals), the right id and ``right_cols``; ``raw_col``
     also holds the separation that was compared. Separations equal to 6 decimals tie
@@ -129,14 +134,18 @@ def sky_match(
         sparse_sources = sources.join(crowded, on, "left_anti")
 
     def hit(b: Column) -> Column:
-        return (b["raw"] <= radius) if inclusive else (b["raw"] < radius)
+        near = (b["raw"] <= radius) if inclusive else (b["raw"] < radius)
+        return near if limit is None else near & (b["raw"] < limit)
 
     cells = _site_struct(sparse_copies).groupBy(*on).agg(F.collect_list("_site").alias("_sites"))
     x, y, z = unit_vector(lra, ldec)
     found = sparse_sources.join(cells, on, "left" if how == "left" else "inner")
     found = found.withColumns({"_lx": x, "_ly": y, "_lz": z})
     xyz = (F.col("_lx"), F.col("_ly"), F.col("_lz"))
-    reach = 2 * math.sin(min(math.radians(radius_deg) + 1e-9, math.pi) / 2)
+    if isinstance(radius_deg, Column):
+        reach = 2 * F.sin(F.least(F.radians(radius_deg) + 1e-9, F.lit(math.pi)) / 2)
+    else:
+        reach = 2 * math.sin(min(math.radians(radius_deg) + 1e-9, math.pi) / 2)
     near = _ranked(_sites_within(F.col("_sites"), *xyz, F.lit(reach * reach)), *xyz, hit)
     found = _once(found, near, hit).drop("_sites", "_lx", "_ly", "_lz")
     if is_crowded:
@@ -270,6 +279,30 @@ def _cells(sites: DataFrame, keys: list[str], parent: list[str], cell: str) -> D
     )
 
 
+def radius_class(radius: Column) -> Column:
+    """Power of ``CLASS_STEP`` (from ``CLASS_BASE`` arcsec) that holds a radius."""
+    power = F.ceil(F.log(float(CLASS_STEP), F.greatest(radius, F.lit(CLASS_BASE)) / CLASS_BASE) - 1e-9)
+    return F.least(F.greatest(power, F.lit(0)), F.lit(CLASSES - 1)).cast("int")
+
+
+def class_match(left: DataFrame, right: DataFrame, radius: Column, *, keys: Sequence[str] = (), raw_col: str | None = None, **match_args) -> DataFrame:
+    """Nearest right row closer than each left row's own ``radius`` (arcsec, a column).
+
+    Cells of all classes share one equi-join, on class, key and cell: a reference star is copied into the cells of the
+    classes that the sources of its key have. Null radii match nothing.
+    """
+    keys = list(keys)
+    left = left.withColumns({"_reach": radius.cast("double"), "_class": radius_class(radius)}).where("_reach is not null")
+    classes = left.select(*keys, "_class").distinct()
+    if keys:
+        copies = right.join(classes, keys)
+    else:  # as many rows as classes, on a constant key
+        copies = right.withColumn("_one", F.lit(1)).join(classes.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    size = F.lit(CLASS_BASE) * F.pow(F.lit(float(CLASS_STEP)), F.col("_class"))
+    found = sky_match(left, copies, size, keys=[*keys, "_class"], raw_col=raw_col, limit=F.col("_reach"), **match_args)
+    return found.drop("_reach", "_class")
+
+
 def adaptive_match(
     left: DataFrame,
     right: DataFrame,
@@ -284,13 +317,13 @@ def adaptive_match(
     """Grow the radius ``k * rms`` (k = 1..max_k) per group until more than ``min_n`` rows match.
 
     ``rms`` is a left column (arcsec, one value per group); groups without it use
-    ``default_radius``. One match at the largest radius serves all k: a row belongs
-    to radius k exactly when its nearest separation is below ``k * rms``.
+    ``default_radius``. One match at a group's largest radius serves all k: a row
+    belongs to radius k exactly when its nearest separation is below ``k * rms``.
+    Groups are matched in cells of their own radius class, so a wide one widens no
+    other's cells.
     """
     group = list(group)
-    widest = left.agg(F.max(rms).alias("r")).first()["r"]
-    radius = max(default_radius, (widest or 0.0) * max_k)
-    found = sky_match(left, right, radius, raw_col="_raw", **match_args)
+    found = class_match(left, right, F.coalesce(F.col(rms) * max_k, F.lit(default_radius)), raw_col="_raw", **match_args)
     sep = F.col("_raw")
     per_k = found.groupBy(*group).agg(
         *[F.count_if(sep < F.col(rms) * k).alias(f"_n{k}") for k in range(1, max_k)]

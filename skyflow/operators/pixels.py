@@ -85,14 +85,15 @@ def chip_sky(pixels: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def level_amps(strips: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Bring every amplifier to the median of the chip's amplifier medians."""
+    """Bring every amplifier to the median of the chip's amplifier medians; one without a valid pixel stays as it is."""
     keys = list(keys)
     values = strips.select(*keys, "amp", F.explode("values").alias("value"))
     sky = exact_median(values, keys + ["amp"], "value", "amp_sky")
     level = sky.groupBy(*keys).agg(F.median("amp_sky").alias("chip_sky"))  # of at most eight
     shift = sky.join(level, keys).select(*keys, "amp", (F.col("amp_sky") - F.col("chip_sky")).alias("_d"))
     return (
-        strips.join(shift, keys + ["amp"])
+        strips.join(shift, keys + ["amp"], "left")
+        .withColumn("_d", F.coalesce("_d", F.lit(0.0)))
         .withColumn("values", F.transform("values", lambda v: v - F.col("_d")))
         .drop("_d")
     )
@@ -493,13 +494,16 @@ def cutouts(
 
 
 def reference_coverage(candidates: DataFrame, wcs: DataFrame, keys: Sequence[str], out: str = "flag_12") -> DataFrame:
-    """Candidates that fall outside the reference image (``wcs, naxis1, naxis2`` per key)."""
+    """Candidates that fall outside the reference image (``wcs, naxis1, naxis2`` per key).
+
+    Without a place on its tangent plane, or without a reference image at all, a candidate is outside.
+    """
     from skyflow.functions.wcs import to_pixel
 
     placed = to_pixel(
-        candidates.join(wcs.select(*keys, "wcs", "naxis1", "naxis2"), list(keys)),
+        candidates.join(wcs.select(*keys, "wcs", "naxis1", "naxis2"), list(keys), "left"),
         "alpha_j2000", "delta_j2000", "wcs", "x_refim", "y_refim",
     )
     x, y = F.col("x_refim"), F.col("y_refim")
-    outside = (x < 0) | (x > F.col("naxis1")) | (y < 0) | (y > F.col("naxis2"))
-    return placed.withColumn(out, outside).drop("wcs", "naxis1", "naxis2")
+    inside = x.between(0, F.col("naxis1")) & y.between(0, F.col("naxis2"))
+    return placed.withColumn(out, ~F.coalesce(inside, F.lit(False))).drop("wcs", "naxis1", "naxis2")

@@ -12,6 +12,7 @@ import fnmatch
 import math
 import posixpath
 import re
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 BLOCK, CARD = 2880, 80
 FILES_PER_TASK = 64
 TABLE_BYTES_PER_TASK = 64 << 20
+PIXEL_BYTES_PER_TASK = 128 << 20
 STRIPS_PER_BATCH = 256
 
 # column -> (header card, type); missing cards are null
@@ -163,7 +165,7 @@ class HeaderReader(DataSourceReader):
 
 
 class PixelSource(DataSource):
-    """Image extensions as strips of one detector row; a task per file and extension."""
+    """Image extensions as strips of one detector row; a task per file and about ``PIXEL_BYTES_PER_TASK`` of it."""
 
     @classmethod
     def name(cls):
@@ -182,37 +184,48 @@ class PixelReader(DataSourceReader):
         self.pattern, self.exts = pattern, exts
 
     def partitions(self):
-        files = [p for p, _ in list_files(self.pattern)]
-        return [Part(f, e) for f in files for e in (self.exts or range(1, 33))] or [Part(None, 0)]
+        parts = []
+        for path, size in list_files(self.pattern):
+            slices = max(1, math.ceil(size / PIXEL_BYTES_PER_TASK))
+            parts += [Part(path, size * i // slices, size * (i + 1) // slices) for i in range(slices)]
+        return parts or [Part(None, 0, 0)]
 
     def read(self, part):
-        path, ext = part.args
+        """The extensions whose data start in the task's range of bytes; headers are read along the chain."""
+        path, low, high = part.args
         if path is None:
             return
         fs, local = split_uri(path)
         with fs.open_input_file(local) as handle:
-            cards = seek_extension(handle, ext)
-            if int(cards.get("NAXIS") or 0) < 2:
-                return
-            width, height = int(cards["NAXIS1"]), int(cards["NAXIS2"])
-            bits = int(cards["BITPIX"])
-            dtype = np.dtype({8: ">u1", 16: ">i2", 32: ">i4", 64: ">i8", -32: ">f4", -64: ">f8"}[bits])
-            scale, zero = float(cards.get("BSCALE") or 1), float(cards.get("BZERO") or 0)
-            name = posixpath.basename(local)
-            for y in range(0, height, STRIPS_PER_BATCH):
-                rows = min(STRIPS_PER_BATCH, height - y)
-                raw = np.frombuffer(handle.read(rows * width * dtype.itemsize), dtype=dtype)
-                flat = (raw.astype(np.float64) * scale + zero).astype(np.float32)
-                values = pa.ListArray.from_arrays(
-                    pa.array(np.arange(rows + 1, dtype=np.int32) * width), pa.array(flat, mask=np.isnan(flat))
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([path] * rows), pa.array([name] * rows), pa.array(np.full(rows, ext, np.int32)),
-                        pa.array(np.arange(y, y + rows, dtype=np.int32)), values,
-                    ],
-                    names=["path", "name", "ext", "y", "values"],
-                )
+            ext = 0
+            while handle.tell() < high and (cards := read_header(handle)):
+                start = handle.tell()
+                if low <= start < high and ext and (not self.exts or ext in self.exts):
+                    yield from self.strips(handle, cards, path, posixpath.basename(local), ext)
+                handle.seek(start + data_bytes(cards))
+                ext += 1
+
+    def strips(self, handle, cards, path, name, ext):
+        if cards.get("XTENSION", "IMAGE").strip() != "IMAGE" or int(cards.get("NAXIS") or 0) < 2:
+            return
+        width, height = int(cards["NAXIS1"]), int(cards["NAXIS2"])
+        bits = int(cards["BITPIX"])
+        dtype = np.dtype({8: ">u1", 16: ">i2", 32: ">i4", 64: ">i8", -32: ">f4", -64: ">f8"}[bits])
+        scale, zero = float(cards.get("BSCALE") or 1), float(cards.get("BZERO") or 0)
+        for y in range(0, height, STRIPS_PER_BATCH):
+            rows = min(STRIPS_PER_BATCH, height - y)
+            raw = np.frombuffer(handle.read(rows * width * dtype.itemsize), dtype=dtype)
+            flat = (raw.astype(np.float64) * scale + zero).astype(np.float32)
+            values = pa.ListArray.from_arrays(
+                pa.array(np.arange(rows + 1, dtype=np.int32) * width), pa.array(flat, mask=np.isnan(flat))
+            )
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([path] * rows), pa.array([name] * rows), pa.array(np.full(rows, ext, np.int32)),
+                    pa.array(np.arange(y, y + rows, dtype=np.int32)), values,
+                ],
+                names=["path", "name", "ext", "y", "values"],
+            )
 
 
 # TFORM letter -> (numpy big-endian type, Spark type)
@@ -222,12 +235,36 @@ TFORMS = {
 }
 
 
-def table_columns(cards: dict) -> list[tuple[str, str, int]]:
-    """(name, TFORM letter, repeat) of the columns of a binary table."""
+class Column(NamedTuple):
+    """A column of a binary table: stored values times ``scale`` plus ``zero``; stored ``null`` is no value."""
+
+    name: str
+    letter: str
+    repeat: int
+    scale: float
+    zero: float
+    null: int | None
+
+    @property
+    def scaled(self) -> bool:
+        return self.letter not in "AL" and (self.scale, self.zero) != (1, 0)
+
+    def spark_type(self) -> T.DataType:
+        if self.letter == "A":
+            return T.StringType()
+        kind = T.DoubleType() if self.scaled else TFORMS[self.letter][1]
+        return T.ArrayType(kind) if self.repeat > 1 else kind
+
+
+def table_columns(cards: dict) -> list[Column]:
     out = []
     for i in range(1, int(cards.get("TFIELDS") or 0) + 1):
         repeat, letter = re.match(r"\s*(\d*)([A-Z])", cards[f"TFORM{i}"]).groups()
-        out.append((cards.get(f"TTYPE{i}", f"col{i}"), letter, int(repeat) if repeat else 1))
+        scale, zero = cards.get(f"TSCAL{i}"), cards.get(f"TZERO{i}")
+        out.append(Column(
+            _clean(cards.get(f"TTYPE{i}") or f"col{i}"), letter, int(repeat) if repeat else 1,
+            1 if scale is None else scale, 0 if zero is None else zero, cards.get(f"TNULL{i}"),
+        ))
     return out
 
 
@@ -236,7 +273,7 @@ def _clean(name: str) -> str:
 
 
 class TableSource(DataSource):
-    """Binary-table extension of many files with the columns of the first one."""
+    """Binary-table extension of many files: the columns of the first one, found by name in the others."""
 
     @classmethod
     def name(cls):
@@ -251,14 +288,7 @@ class TableSource(DataSource):
             return table_columns(seek_extension(handle, int(self.options.get("ext", 1))))
 
     def schema(self):
-        fields = [T.StructField("path", T.StringType())]
-        for name, letter, repeat in self._columns():
-            if letter == "A":
-                kind: T.DataType = T.StringType()
-            else:
-                kind = T.ArrayType(TFORMS[letter][1]) if repeat > 1 else TFORMS[letter][1]
-            fields.append(T.StructField(_clean(name), kind))
-        return T.StructType(fields)
+        return T.StructType([T.StructField("path", T.StringType()), *(T.StructField(c.name, c.spark_type()) for c in self._columns())])
 
     def reader(self, schema):
         return TableReader(self.options["path"], int(self.options.get("ext", 1)), schema)
@@ -266,7 +296,7 @@ class TableSource(DataSource):
 
 class TableReader(DataSourceReader):
     def __init__(self, pattern, ext, schema):
-        self.pattern, self.ext, self.names = pattern, ext, schema.names[1:]
+        self.pattern, self.ext, self.schema = pattern, ext, schema
 
     def partitions(self):
         parts = []
@@ -276,14 +306,18 @@ class TableReader(DataSourceReader):
         return parts
 
     def read(self, part):
+        from pyspark.sql.pandas.types import to_arrow_schema
+
         path, index, slices = part.args
+        wanted = list(to_arrow_schema(self.schema))[1:]
         fs, local = split_uri(path)
         with fs.open_input_file(local) as handle:
             cards = seek_extension(handle, self.ext)
             columns = table_columns(cards)
             layout = np.dtype(
-                [(f"f{i}", f"S{n}") if k == "A" else (f"f{i}", TFORMS[k][0], (n,) if n > 1 else ()) for i, (_, k, n) in enumerate(columns)]
+                [(f"f{i}", f"S{c.repeat}") if c.letter == "A" else (f"f{i}", TFORMS[c.letter][0], (c.repeat,) if c.repeat > 1 else ()) for i, c in enumerate(columns)]
             )
+            place = {c.name: i for i, c in reversed(list(enumerate(columns)))}
             width, rows = int(cards["NAXIS1"]), int(cards["NAXIS2"])
             first, last = rows * index // slices, rows * (index + 1) // slices
             handle.seek(handle.tell() + first * width)
@@ -291,26 +325,33 @@ class TableReader(DataSourceReader):
                 count = min(last - first, 65536)
                 block = np.frombuffer(handle.read(count * width), dtype=layout)
                 arrays = [pa.array([path] * count)]
-                for i, (_, kind, repeat) in enumerate(columns):
-                    arrays.append(_arrow(block[f"f{i}"], kind, repeat))
-                yield pa.RecordBatch.from_arrays(arrays, names=["path", *self.names])
+                for field in wanted:
+                    i = place.get(field.name)
+                    found = pa.nulls(count, field.type) if i is None else _arrow(block[f"f{i}"], columns[i])
+                    arrays.append(found.cast(field.type, safe=False))
+                yield pa.RecordBatch.from_arrays(arrays, names=self.schema.names)
                 first += count
 
 
-def _arrow(values: np.ndarray, kind: str, repeat: int) -> pa.Array:
-    if kind == "A":
+def _arrow(values: np.ndarray, column: Column) -> pa.Array:
+    if column.letter == "A":
         return pa.array([v.decode("ascii", "replace").rstrip() for v in values])
-    if kind == "L":
+    if column.letter == "L":
         native = values == b"T"
-    elif kind == "B":
+    elif column.letter == "B":
         native = values.astype(np.int16)
     else:
         native = values.astype(values.dtype.newbyteorder("="))
     flat = native.reshape(-1)
-    flat = pa.array(flat, mask=np.isnan(flat)) if flat.dtype.kind == "f" else pa.array(flat)
-    if repeat == 1:
+    none = np.isnan(flat) if flat.dtype.kind == "f" else np.zeros(len(flat), bool)
+    if column.null is not None and flat.dtype.kind == "i":
+        none |= flat == column.null
+    if column.scaled:
+        flat = flat.astype(float) * column.scale + column.zero
+    flat = pa.array(flat, mask=none)
+    if column.repeat == 1:
         return flat
-    return pa.ListArray.from_arrays(pa.array(np.arange(len(values) + 1, dtype=np.int32) * repeat), flat)
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(values) + 1, dtype=np.int32) * column.repeat), flat)
 
 
 def register(spark: SparkSession) -> None:
@@ -325,7 +366,7 @@ def read_exposures(spark: SparkSession, pattern: str) -> DataFrame:
 
 
 def read_pixels(spark: SparkSession, pattern: str, ext: list[int] | None = None) -> DataFrame:
-    """Strip rows ``path, name, ext, y, values`` of the given extensions (default: 1..32 as present)."""
+    """Strip rows ``path, name, ext, y, values`` of the given extensions (default: all images of the file)."""
     register(spark)
     reader = spark.read.format("skyflow_pixels")
     if ext:

@@ -111,3 +111,20 @@ def test_surface(spark):
     f = ph.poly2d_fit(df, ["g"], "x", "y", "z")
     err = df.join(f.drop("n"), "g").select(F.max(F.abs(ph.poly2d_value(F.col("x"), F.col("y")) - F.col("z"))).alias("e")).first()["e"]
     assert err < 1e-9
+
+
+def test_large_groups_with_null_keys(spark):
+    import random
+
+    rnd = random.Random(3)
+    rows = [(k, rnd.gauss(0, 1) if rnd.random() < 0.9 else 50.0) for k in ("a", None) for _ in range(200)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    small = {r["g"]: r for r in clip.clip_summary(df, ["g"], "v", 2.5).collect()}
+    large = {r["g"]: r for r in clip.clip_summary(df, ["g"], "v", 2.5, large=50).collect()}
+    assert set(small) == set(large) == {"a", None}
+    for g in small:
+        assert small[g]["n_kept"] == large[g]["n_kept"] and abs(small[g]["median"] - large[g]["median"]) < 1e-12
+    line = spark.createDataFrame([(k, float(x), 3.0 * x + 1) for k in ("a", None) for x in range(60)], "g string, x double, y double")
+    for limit in (None, 10):
+        got = {r["g"]: r for r in fits.huber_fit(line, ["g"], "x", "y", large=limit).collect()}
+        assert set(got) == {"a", None} and all(abs(r["slope"] - 3) < 1e-3 and r["n"] == 60 for r in got.values())

@@ -117,3 +117,37 @@ def test_cone_and_box_across_the_wrap(spark):
     assert {r["number"] for r in cone_search(t, 0.0, 0.0, 0.1, "alpha_j2000", "delta_j2000").collect()} == {1, 2}
     assert {r["number"] for r in box_search(t, 0.0, 0.0, 0.2, "alpha_j2000", "delta_j2000").collect()} == {1, 2}
     assert {r["number"] for r in cone_search(t, 180.0, 89.99, 0.1, "alpha_j2000", "delta_j2000").collect()} == {4}
+
+
+def test_groups_match_in_cells_of_their_own_radius(spark):
+    import math
+    import random
+
+    rnd = random.Random(8)
+    refs = [(i, rnd.uniform(0, 360), rnd.uniform(-89, 89), k) for i, k in enumerate(["a", "b", None] * 60)]
+    # one key with a radius of many degrees, one of an arcsecond, one without a radius
+    rms = {"a": 20_000.0, "b": 0.4, "c": None}
+    left = []
+    for n in range(240):
+        group = "abc"[n % 3]
+        i, ra, dec, _ = refs[rnd.randrange(len(refs))]
+        off = rnd.uniform(0, 3) * (rms[group] or 0.3) / 3600
+        left.append((n, group, ra, max(-89.9, min(89.9, dec + off)), rms[group]))
+    s = spark.createDataFrame(left, "number long, g string, alpha_j2000 double, delta_j2000 double, rms double")
+    r = spark.createDataFrame([(i, a, d) for i, a, d, _ in refs], "ref_id long, raj2000 double, dej2000 double")
+    got = {x["number"]: x for x in mt.adaptive_match(s, r, group=["g"], rms="rms", min_n=30, max_k=3).collect()}
+
+    def apart(a, b):
+        x, y = ([math.cos(math.radians(d)) * math.cos(math.radians(r)), math.cos(math.radians(d)) * math.sin(math.radians(r)), math.sin(math.radians(d))] for r, d in (a, b))
+        return math.degrees(2 * math.asin(min(1, math.dist(x, y) / 2))) * 3600
+
+    nearest = {n: min((round(apart((ra, dec), (a, d)), 6), i) for i, a, d, _ in refs) for n, _, ra, dec, _ in left}
+    for group, value in rms.items():
+        mine = [n for n, g, *_ in left if g == group]
+        k = next((k for k in (1, 2) if value and sum(nearest[n][0] < value * k for n in mine) > 30), 3)
+        limit = value * k if value else 0.5
+        near = {n for n in mine if nearest[n][0] < limit - 1e-5}
+        assert near <= {n for n in mine if n in got} <= {n for n in mine if nearest[n][0] < limit + 1e-5}
+        assert all(abs(got[n]["sep"] - nearest[n][0]) < 1e-4 for n in near)
+    plan = mt.adaptive_match(s, r, group=["g"], rms="rms")._jdf.queryExecution().optimizedPlan().toString()
+    assert "_class" in plan

@@ -183,3 +183,23 @@ def test_filter_on_a_projected_pixel_stays_small(spark):
     near = wcs_fn.to_pixel(sky, "ra", "dec").where("abs(x) < 100 or abs(y) < 10")
     assert len(near._jdf.queryExecution().optimizedPlan().toString()) < 100_000
     assert [round(r["x"], 6) for r in near.collect()] == [50.0]
+
+
+def test_candidates_without_a_reference_image_are_outside(spark):
+    from skyflow.functions.wcs import tan_struct
+
+    rows = [(1, "a", 10.0, 20.0), (2, "a", 190.0, -20.0), (3, "b", 10.0, 20.0), (4, "a", None, 20.0), (5, "a", 10.5, 20.0), (6, None, 10.0, 20.0)]
+    df = spark.createDataFrame(rows, "number int, chip string, alpha_j2000 double, delta_j2000 double")
+    from pyspark.sql import functions as F
+
+    wcs = spark.range(1).select(F.lit("a").alias("chip"), tan_struct(F.lit(10.0), F.lit(20.0), 0.4 / 3600, 0.0).alias("wcs"), F.lit(100).alias("naxis1"), F.lit(100).alias("naxis2"))
+    got = {r["number"]: r["flag"] for r in vt.final_flag(vt.flag_12(df, wcs, ["chip"])).collect()}
+    assert got.pop(1) in (True, False) and got == {2: True, 3: True, 4: True, 5: True, 6: True}
+
+
+def test_an_amplifier_without_a_valid_pixel_stays(spark):
+    rows = [("k", a, 0, None if a == 2 else [float(a), float(a) + 2]) for a in range(4)] + [("k", 2, 1, [None, None])]
+    df = spark.createDataFrame(rows, "chip string, amp int, y int, values array<double>")
+    got = {(r["amp"], r["y"]): r["values"] for r in px.level_amps(df, ["chip"]).collect()}
+    assert got[2, 0] is None and got[2, 1] == [None, None]
+    assert got[0, 0] == got[1, 0] == got[3, 0] == [1.0, 3.0]

@@ -114,17 +114,20 @@ def read_binary_tables(spark, d):
 def read_ascii_catalog(spark, d):
     out = scratch(spark)
     s = view(spark, "sources", d).withColumn("m", F.round(F.col("mag_auto") + 1e-6, 4))
-    line = F.concat_ws(
-        "   ", F.lpad(F.col("number").cast("string"), 14, " "), F.format_string("%9.4f", "m"),
-        F.when(F.col("flags") == 3, F.lit("nan")).otherwise(F.format_string("%9.4f", F.col("m") + 1)), F.format_string("%10.4f", "x_image"), F.col("flags").cast("string"),
-    )
+    number, magnitude, flags = F.lpad(F.col("number").cast("string"), 14, " "), F.format_string("%9.4f", "m"), F.col("flags").cast("string")
+    second = F.when(F.col("flags") == 3, F.lit("nan")).otherwise(F.format_string("%9.4f", F.col("m") + 1))
+    position = F.format_string("%10.4f", "x_image")
+    odd = F.col("number") % 2 == 1
+    line = F.when(odd, F.concat_ws("   ", flags, number, position, magnitude, second)).otherwise(F.concat_ws("   ", number, magnitude, second, position, flags))
     heads = ["#   1 LONG_NUMBER    Running object number", "#   2 MAG_APER       Fixed aperture magnitude vector  [mag]",
              "#   4 X_IMAGE        Object position along x  [pixel]", "#   5 FLAGS          Extraction flags"]
-    # each part file is one catalogue with its own head
-    lines = s.select(line.alias("value"))
-    head = spark.createDataFrame([(h,) for h in heads], "value string")
-    head.unionByName(lines).write.text(out)
-    c = text.read_ascii_catalog(spark, out)
+    other = ["# 1 FLAGS", "# 2 LONG_NUMBER", "# 3 X_IMAGE", "# 4 MAG_APER"]
+    # a file for each last digit of the number, each with its own head; odd ones have another layout
+    lines = s.select((F.col("number") % 10).cast("int").alias("file"), F.lit(100).alias("place"), line.alias("value"))
+    head = spark.createDataFrame([(k, i, h) for k in range(10) for i, h in enumerate(other if k % 2 else heads)], "file int, place int, value string")
+    files = head.unionByName(lines).repartition("file").sortWithinPartitions("file", "place")
+    files.select("file", "value").write.partitionBy("file").text(out)
+    c = text.read_ascii_catalog(spark, f"{out}/*")
     return c.select(
         F.col("long_number").cast("long").alias("number"), "flags", F.round(F.col("mag_aper")[0], 4).alias("mag_auto"),
         F.round("x_image", 4).alias("x_image"), F.round(F.col("mag_aper")[1], 4).alias("mag_b"),
@@ -148,11 +151,9 @@ def read_wcs_heads(spark, d):
         )
 
     heads = e.select("serial", F.concat_ws("\n", *[block(n) for n in range(4)]).alias("value"))
-    # a head file per task, blocks of many frames in sequence; the frame is in the cards
+    # a head file per task, blocks of many frames in sequence, four a frame; the frame is in the cards
     heads.select("value").write.text(out)
     w = text.read_wcs_heads(spark, out)
-    # block order inside a file: four chips per frame, frames in file order
-    w = w.withColumn("chip", F.get(F.array(*[F.lit(c) for c in text.HEAD_CHIPS]), (F.col("block") % 4).cast("int")))
     serial = F.regexp_extract("cards_comment", r"frame (\w+)", 1)
     return w.select(
         serial.alias("frame"), "chip", F.round("wcs.crpix1", 6).alias("crpix1"), "wcs.cd1_1",
