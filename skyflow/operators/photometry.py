@@ -81,7 +81,7 @@ def amp_zero_point_fit(
 
     A poor score (not above -0.1) or fewer than 3 stars falls back to least
     squares; an amplifier with at most 2 stars is bad. Output: ``slope,
-    intercept, score, n_fit, method, bad``.
+    intercept, score, n_fit, method, bad, converged``.
     """
     keys = list(keys)
     points = df.withColumn("_d", F.col(mag) - F.col(ref_mag))
@@ -99,6 +99,7 @@ def amp_zero_point_fit(
         F.col("n").alias("n_fit"),
         F.when(bad, F.lit("none")).when(good, F.lit("huber")).otherwise(F.lit("least_squares")).alias("method"),
         bad.alias("bad"),
+        F.when(bad | ~good, F.lit(True)).otherwise(F.col("converged")).alias("converged"),
     )
 
 

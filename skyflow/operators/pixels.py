@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from skyflow.functions.naming import AMPS, NAXIS1, NAXIS2
 from skyflow.functions.photsys import SCALED_ZERO_POINT, flux_ratio
 from skyflow.operators.clip import clip_summary, exact_median
+from skyflow.operators.histogram import strip_median
 from skyflow.operators.photometry import poly2d_value
 
 # --- fixed values ------------------------------------------------------------
@@ -84,11 +85,15 @@ def chip_sky(pixels: DataFrame, keys: Sequence[str]) -> DataFrame:
     return exact_median(pixels, keys, "value", "sky")
 
 
+def chip_sky_of_strips(strips: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The same from strips, without a row per pixel."""
+    return strip_median(strips, keys, "sky")
+
+
 def level_amps(strips: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Bring every amplifier to the median of the chip's amplifier medians; one without a valid pixel stays as it is."""
     keys = list(keys)
-    values = strips.select(*keys, "amp", F.explode("values").alias("value"))
-    sky = exact_median(values, keys + ["amp"], "value", "amp_sky")
+    sky = strip_median(strips, keys + ["amp"], "amp_sky")
     level = sky.groupBy(*keys).agg(F.median("amp_sky").alias("chip_sky"))  # of at most eight
     shift = sky.join(level, keys).select(*keys, "amp", (F.col("amp_sky") - F.col("chip_sky")).alias("_d"))
     return (

@@ -87,3 +87,16 @@ def to_astrometric_ref(
             "mag": F.coalesce(value, F.lit(DEFAULT_MAG)),
         }
     )
+
+
+def committed(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written there to the end."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        spark.read.text(f"{path}/_SUCCESS")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True

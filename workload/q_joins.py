@@ -412,6 +412,24 @@ def amp_zero_point_fit(spark, d):
     return ph.amp_zero_point_fit(m, ["chip", "amp"], "mag_auto", "ref_rmag", bound=sel.amp_of(view(spark, "sources", d)))
 
 
+_LINE = "(amp+1)*1e-5"
+_BASE = "-29.5-case chip when 'kk' then 0.0 when 'mm' then 0.25 when 'nn' then 0.5 else 0.75 end"
+
+
+@query(
+    "exact_amp_zero_points__A16",
+    using(*_V, ctes=f"""am as (select *, cast(greatest(0,least(7,floor(x_image/1152))) as int) as amp from sources)""")
+    + f"""select chip, amp, round({_LINE},8) as slope, round({_BASE},5) as intercept, 1e0 as score, count(*) as n_fit, 'huber' as method, false as bad, true as converged
+from am group by chip, amp""",
+)
+def exact_amp_zero_points(spark, d):
+    """Magnitudes that lie on a line in y exactly, one for each amplifier: the robust fit has to find it."""
+    s = sel.amp_of(view(spark, "sources", d))
+    line = F.expr(_LINE.replace("e-5", "E-5").replace("1E-5", "1.0E-5D")) * F.col("y_image") + F.expr(_BASE).cast("double")
+    out = ph.amp_zero_point_fit(s.withColumn("ref", F.col("mag_auto") - line), ["chip", "amp"], "mag_auto", "ref")
+    return out.select("chip", "amp", F.round("slope", 8).alias("slope"), F.round("intercept", 5).alias("intercept"), F.round("score", 6).alias("score"), "n_fit", "method", "bad", "converged")
+
+
 def _solve_sql(prefix: str, source: str) -> str:
     """Gaussian elimination of the 6 x 6 normal equations, one CTE per pivot."""
     terms = ph.POLY_TERMS
@@ -464,6 +482,24 @@ def depth_from_errors(spark, d):
     return ph.depth_from_errors(s, ["chip"])
 
 
+_DEPTH = "case chip when 'kk' then 20.03 when 'mm' then 20.17 when 'nn' then 19.88 else 20.41 end"
+
+
+@query(
+    "exact_depths__A18",
+    using("sources", ctes=f"""er as (select chip, flags, mag_auto+34 as m, 0.2e0*exp(0.9e0*(mag_auto+34-cast({_DEPTH} as double))) as e from sources)""")
+    + f"""select chip, cast({_DEPTH} as double) as depth, 0.9e0 as b, 1e0 as r2, 0.03e0 as cut, count(*) as n, true as converged from er where flags<4 and e>=0.03e0 and e<=0.5e0 group by chip""",
+)
+def exact_depths(spark, d):
+    """Errors that grow exponentially without scatter: the depth is where they reach 5 sigma."""
+    m = F.col("mag_auto") + 34
+    s = view(spark, "sources", d).select(
+        "chip", "flags", F.lit(0.9).alias("class_star"), m.alias("mag_aper"), (F.exp((m - F.expr(_DEPTH).cast("double")) * 0.9) * 0.2).alias("magerr_aper"),
+    )
+    out = ph.depth_from_errors(s, ["chip"])
+    return out.select("chip", "depth", F.round("b", 6).alias("b"), F.round("r2", 6).alias("r2"), "cut", "n", "converged")
+
+
 @query(
     "depth_from_sky__A19",
     using("pixels") + """select frame_id, round(zp,6) as zp, round(sig,6) as sky_sigma, round_even(zp-2.5e0*log10(5*sig*sqrt(pi()*pow(12.5e0/2,2))),3) as depth
