@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 INVERSE_STEPS = 5
@@ -104,3 +105,31 @@ def tan_struct(ra0: Column, dec0: Column, scale: float, crpix: float = 0.0) -> C
         identity.alias("pv1"),
         identity.alias("pv2"),
     )
+
+
+def tan_cells(solution: np.ndarray, x: np.ndarray, y: np.ndarray, scale: float) -> tuple[np.ndarray, np.ndarray]:
+    """Nearest cells of a plain gnomonic grid (as ``tan_struct`` with crpix 0) for many pixels of one image.
+
+    ``solution`` holds crpix, crval, the CD matrix by rows, both coefficient arrays and the centre of the grid. Pixels on
+    or behind the plane through the sphere's centre are NaN.
+    """
+    x0, y0, ra, dec, a, b, c, d = solution[:8]
+    pv1, pv2 = solution[8 : 8 + PV_TERMS], solution[8 + PV_TERMS : 8 + 2 * PV_TERMS]
+    center_ra, center_dec = solution[-2:]
+
+    def distorted(pv: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+        r = np.sqrt(u * u + v * v)
+        terms = (1.0, u, v, r, u * u, u * v, v * v, u * u * u, u * u * v, u * v * v, v * v * v, r * r * r)
+        return sum((k * t for k, t in zip(pv, terms) if k), np.zeros_like(u))
+
+    u, v = a * (x - x0) + b * (y - y0), c * (x - x0) + d * (y - y0)
+    xi, eta = np.radians(distorted(pv1, u, v)), np.radians(distorted(pv2, v, u))
+    near, grid = np.radians(dec), np.radians(center_dec)
+    depth = np.cos(near) - eta * np.sin(near)
+    away = np.radians(ra - center_ra) + np.arctan2(xi, depth)
+    high = np.arctan2(np.sin(near) + eta * np.cos(near), np.hypot(xi, depth))
+    cosc = np.sin(high) * np.sin(grid) + np.cos(high) * np.cos(grid) * np.cos(away)
+    cosc = np.where(cosc > 0, cosc, np.nan)
+    px = -np.degrees(np.cos(high) * np.sin(away) / cosc) / scale
+    py = np.degrees((np.sin(high) * np.cos(grid) - np.cos(high) * np.sin(grid) * np.cos(away)) / cosc) / scale
+    return np.floor(px + 0.5), np.floor(py + 0.5)

@@ -49,13 +49,15 @@ def full_frame_sets(chips: DataFrame, frame: str = "frame_id") -> DataFrame:
 
 
 def stack_summary(chips: DataFrame, group: Sequence[str] = ("site", "field", "band"), order: str = "frame_id") -> DataFrame:
-    """One row per stack: dithers, total exposure, mean date, seeing and saturation.
+    """One row per stack: dithers, total exposure, mean date, seeing, saturation and what its frames are.
 
-    ``chips`` has one row per frame and chip with ``date_obs, exptime, fwhm, saturate``.
-    The exposure time is that of the first frame by name times the dithers.
+    ``chips`` has one row per frame and chip with ``date_obs, exptime, fwhm, saturate, site``.
+    The exposure time is that of the first frame by name times the dithers. ``images`` lists the frames by name with
+    their dates and observatories, as long as the dithers.
     """
     first_chip = F.col("chip") == CHIPS[0]
     mjd = to_mjd("date_obs")
+    image = F.struct(F.col(order).alias("name"), F.col("date_obs").alias("date"), F.col("site").alias("observatory"))
     return chips.groupBy(*group).agg(
         F.count_if(first_chip).alias("dither"),
         (F.min_by("exptime", order) * F.count_if(first_chip)).alias("exptime"),
@@ -63,6 +65,7 @@ def stack_summary(chips: DataFrame, group: Sequence[str] = ("site", "field", "ba
         F.bround(F.avg("fwhm"), 2).alias("fwhm"),
         F.bround(F.avg("saturate"), 0).alias("saturate"),
         F.bround(F.min("saturate"), 0).alias("undersat"),
+        F.array_sort(F.collect_list(F.when(first_chip, image))).alias("images"),
     ).withColumn("mean_date", from_mjd("mean_mjd"))
 
 

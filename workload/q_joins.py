@@ -166,11 +166,15 @@ def full_frame_intersection(spark, d):
     using("chips", ctes=_FULL) + """select site, field, band, count(*) filter (where chip='kk') as dither,
  round(arg_min(exptime, frame_id)*count(*) filter (where chip='kk'),6) as exptime,
  round(avg(epoch_us(date_obs)/86400e6+40587) filter (where chip='kk'),6) as mean_mjd, round_even(avg(fwhm),2) as fwhm,
- round_even(avg(saturate),0) as saturate, round_even(min(saturate),0) as undersat from members group by site, field, band""",
+ round_even(avg(saturate),0) as saturate, round_even(min(saturate),0) as undersat,
+ string_agg(frame_id||' '||strftime(date_obs,'%Y-%m-%d')||' '||site, ',' order by frame_id) filter (where chip='kk') as images
+from members group by site, field, band""",
 )
 def stack_summary(spark, d):
     s = st.stack_summary(st.full_frames(st.stackable(view(spark, "chips", d))))
-    return s.drop("mean_date").withColumns({"mean_mjd": F.round("mean_mjd", 6), "exptime": F.round("exptime", 6)})
+    images = F.transform("images", lambda i: F.concat_ws(" ", i["name"], F.date_format(i["date"], "yyyy-MM-dd"), i["observatory"]))
+    return s.drop("mean_date").withColumns(
+        {"mean_mjd": F.round("mean_mjd", 6), "exptime": F.round("exptime", 6), "images": F.concat_ws(",", images)})
 
 
 @query(

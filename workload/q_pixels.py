@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from skyflow.functions.wcs import tan_struct
-from skyflow.operators import pixels as px, stacking as st, strips as sp
+from skyflow.operators import pixels as px, resample as rs, stacking as st, strips as sp
 from workload.sqlkit import clip as clip_sql, match, query, using
 from workload.views import table_of, view
 
@@ -217,6 +217,27 @@ def coadd(spark, d):
     return st.coadd(p, wcs, K, ["stack_id"], F.lit(121.0), F.lit(-30.0)).withColumn("value", F.round("value", 6))
 
 
+@query("stack_strips__X10", _coadd_sql())
+def stack_strips(spark, d):
+    """The same stack from strips, without a row per pixel until it is compared."""
+    s = view(spark, "strips", d)
+    shift = F.col("frame_id") * (0.4 / 3600)
+    wcs = s.select("frame_id").distinct().withColumns(
+        {"stack_id": F.lit(1), "wcs": tan_struct(F.lit(121.0) + shift, F.lit(-30.0) + shift, 0.4 / 3600)})
+    spans = rs.stack_strips(s, wcs, K, ["stack_id"], F.lit(121.0), F.lit(-30.0), width=WIDTH)
+    return rs.span_pixels(spans, ["stack_id"]).withColumns({"value": F.round("value", 6), "n": F.col("n").cast("long")})
+
+
+@query("median_stack__X10", _coadd_sql().replace("avg(value)", "median(value)"))
+def median_stack(spark, d):
+    s = view(spark, "strips", d)
+    shift = F.col("frame_id") * (0.4 / 3600)
+    wcs = s.select("frame_id").distinct().withColumns(
+        {"stack_id": F.lit(1), "wcs": tan_struct(F.lit(121.0) + shift, F.lit(-30.0) + shift, 0.4 / 3600)})
+    spans = rs.stack_strips(s, wcs, K, ["stack_id"], F.lit(121.0), F.lit(-30.0), combine="median", width=WIDTH)
+    return rs.span_pixels(spans, ["stack_id"]).withColumns({"value": F.round("value", 6), "n": F.col("n").cast("long")})
+
+
 @query(
     "tile_image__X12",
     using("pixels") + """select frame_id, x, y, cast(least(x//16,3)*4+least(y//31,3) as int) as tile, cast(x-16*least(x//16,3) as int) as x_tile, cast(y-31*least(y//31,3) as int) as y_tile from pixels""",
