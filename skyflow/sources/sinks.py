@@ -65,9 +65,9 @@ def quarantine_lines(df: DataFrame, reason: str = "reject_reason", name: str = "
     )
 
 
-def write_quarantine(df: DataFrame, path: str, reason: str = "reject_reason") -> None:
+def write_quarantine(df: DataFrame, path: str, reason: str = "reject_reason", mode: str = "append") -> None:
     """Rejected frames, one folder per reason; good frames are not written."""
-    df.where(F.col(reason).isNotNull()).write.mode("append").partitionBy(reason).parquet(path)
+    df.where(F.col(reason).isNotNull()).write.mode(mode).partitionBy(reason).parquet(path)
 
 
 def to_astrometric_ref(
