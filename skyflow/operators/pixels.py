@@ -142,17 +142,6 @@ def pattern_noise(
 # --- masks -------------------------------------------------------------------
 
 
-def _fill_amp(frames: DataFrame, keys: Sequence[str], amp: Column, width: int, height: int, code: int) -> DataFrame:
-    """Constant code over whole amplifiers of the given frames."""
-    return (
-        frames.select(*keys, amp.alias("_a"))
-        .where(F.col("_a").isNotNull())
-        .withColumn("y", F.explode(F.sequence(F.lit(0), F.lit(height - 1))))
-        .withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(width - 1))))
-        .select(*keys, (F.col("_a") * width + F.col("_i")).cast("int").alias("x"), "y", F.lit(code).cast("long").alias("code"))
-    )
-
-
 def crosstalk_mask(
     pixels: DataFrame, keys: Sequence[str], limit: float = CROSSTALK_LIMIT, width: int = AMP_WIDTH, amps: int = AMPS,
     dead: DataFrame | None = None, height: int = NAXIS2, dead_amp: int = 6,
@@ -163,26 +152,10 @@ def crosstalk_mask(
     when the two lie in different halves; the most distant pairs (six apart) are
     too weak. ``dead`` lists frames whose amplifier ``dead_amp`` is 4 throughout.
     """
-    keys, half = list(keys), amps // 2
-    src = F.floor(F.col("x") / width).cast("int")
-    hot = pixels.where(F.col("value") > limit).select(*keys, "y", src.alias("_src"), (F.col("x") - src * width).alias("_lx"))
-    dst = F.filter(
-        F.sequence(F.lit(0), F.lit(amps - 1)),
-        lambda d: (F.pmod(d - F.col("_src"), F.lit(2)) == 0) & (F.abs(d - F.col("_src")) < 6),
-    )
-    hits = hot.withColumn("_dst", F.explode(dst))
-    flip = (F.col("_src") < half) != (F.col("_dst") < half)
-    local = F.when(flip, width - 1 - F.col("_lx")).otherwise(F.col("_lx"))
-    hits = hits.withColumn("x", (F.col("_dst") * width + local).cast("int"))
-    if dead is not None:
-        gone = dead.select(*keys).distinct()
-        hits = hits.join(gone.withColumn("_dead", F.lit(True)), keys, "left").where(
-            ~(F.coalesce("_dead", F.lit(False)) & (F.col("_dst") == dead_amp))
-        )
-    out = hits.groupBy(*keys, "x", "y").agg(F.count("*").alias("code"))
-    if dead is not None:
-        out = out.unionByName(_fill_amp(gone, keys, F.lit(dead_amp), width, height, BAD_AMP_CODE))
-    return out
+    from skyflow.operators import masks
+
+    hot = masks.spans_of_pixels(pixels.where(F.col("value") > limit).withColumn("code", F.lit(1)), keys)
+    return masks.span_pixels(masks.crosstalk_spans(hot, keys, width, amps, dead, height, dead_amp), keys)
 
 
 def bleed_rows(column: np.ndarray, median: float, sigma: float, down: bool, limit: float, near: int, far: int, excess: float) -> np.ndarray:
@@ -261,17 +234,10 @@ def update_bad_pixel_mask(
 
     ``frames`` has ``keys, badamp`` (digit string); ``bpm`` has the same keys.
     """
-    keys = list(keys)
-    digits = F.split("badamp", "")
-    amps = frames.select(
-        *keys, F.filter(F.transform(digits, lambda d, i: F.when(d == "1", i)), lambda i: i.isNotNull()).alias("_bad")
-    )
-    bad = amps.select(*keys, F.explode("_bad").alias("_a"))
-    src = F.floor(F.col("x") / width).cast("int")
-    kept = mask.withColumn("_a", src).join(bad, keys + ["_a"], "left_anti").drop("_a")
-    full = _fill_amp(bad, keys, F.col("_a"), width, height, BAD_AMP_CODE)
-    qa = amps.select(*keys, F.size("_bad").alias("n_bad_amps"), (F.size("_bad") < 3).alias("photqa"))
-    return combine_masks([kept, full, bpm], keys), qa
+    from skyflow.operators import masks
+
+    spans, qa = masks.with_bad_amps(masks.spans_of_pixels(mask, keys), masks.spans_of_pixels(bpm, keys), frames, keys, width, height)
+    return masks.span_pixels(spans, keys), qa
 
 
 # --- background and scaling --------------------------------------------------

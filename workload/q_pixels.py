@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from skyflow.functions.wcs import tan_struct
-from skyflow.operators import pixels as px, resample as rs, stacking as st, strips as sp
+from skyflow.operators import masks as mk, pixels as px, resample as rs, stacking as st, strips as sp
 from workload.sqlkit import clip as clip_sql, match, query, using
 from workload.views import table_of, view
 
@@ -98,6 +98,15 @@ def crosstalk_mask(spark, d):
     return _talk(spark, d)
 
 
+@query("crosstalk_spans__X5", using("pixels", ctes=_PAIRS) + "select frame_id, x, y, code from talk")
+def crosstalk_spans(spark, d):
+    """The same from the saturated runs of strips; pixels appear only to be compared."""
+    strips = view(spark, "strips", d)
+    dead = strips.select("frame_id").distinct().where(F.col("frame_id") % 4 == 2)
+    hot = mk.spans_of_strips(strips, K, lambda v: v > HOT, width=WIDTH)
+    return mk.span_pixels(mk.crosstalk_spans(hot, K, WIDTH, dead=dead, height=HEIGHT), K)
+
+
 @query("bleed_mask__X6")
 def bleed_mask(spark, d):
     return px.bleed_mask(view(spark, "pixels", d), K, F.col("frame_id") % 2 == 0, limit=HOT, excess=100.0)
