@@ -107,7 +107,26 @@ def crosstalk_spans(spark, d):
     return mk.span_pixels(mk.crosstalk_spans(hot, K, WIDTH, dead=dead, height=HEIGHT), K)
 
 
-@query("bleed_mask__X6")
+# a column runs away from its amplifier; a trail ends where enough pixels in a row are dim again
+_TRAILS = clip_sql("bc", "pixels", ["frame_id"], "value", 3.0, 5) + f""",
+ bm as (select frame_id, median(v) as med, stddev_pop(v) as sig from bc group by frame_id),
+ bl as materialized (select frame_id, x, case when {{down_p}} then {HEIGHT - 1}-y else y end as r, value as v, med, value<=med+{px.BLEED_SIGMA}*sig as dim from pixels join bm using (frame_id)),
+ bw as materialized (select *, sum(v) over (partition by frame_id, x order by r) as cum,
+  sum(cast(dim as int)) over (partition by frame_id, x order by r rows between {px.BLEED_STOP - 1} preceding and current row) as n_dim from bl),
+ bs as (select h.frame_id, h.x, h.r as s from (select *, least(r+{px.BLEED_NEAR},{HEIGHT - 1}) as a, least(r+{px.BLEED_FAR},{HEIGHT - 1}) as b from bl where v>{HOT}) h
+  join bw wa on wa.frame_id=h.frame_id and wa.x=h.x and wa.r=h.a join bw wb on wb.frame_id=h.frame_id and wb.x=h.x and wb.r=h.b
+  where h.a<h.b and wb.cum-wa.cum+wa.v-h.med*(h.b-h.a+1)>100),
+ be as (select bs.frame_id, bs.x, s, coalesce(min(w.r)+1-{px.BLEED_STOP},{HEIGHT}) as e from bs
+  left join bw w on w.frame_id=bs.frame_id and w.x=bs.x and w.r-{px.BLEED_STOP}+1>=s and w.n_dim={px.BLEED_STOP} group by bs.frame_id, bs.x, s),
+ trails as (select distinct bl.frame_id, bl.x, cast(case when {{down}} then {HEIGHT - 1}-r else r end as int) as y, 8 as code from bl join be on bl.frame_id=be.frame_id and bl.x=be.x and r>=s and r<e)"""
+
+
+def trails_sql(down: str) -> str:
+    """``down`` is a condition on ``{t}.frame_id``."""
+    return _TRAILS.replace("{down_p}", down.format(t="pixels")).replace("{down}", down.format(t="bl"))
+
+
+@query("bleed_mask__X6", using("pixels", ctes=trails_sql("{t}.frame_id%2=0")) + "select frame_id, x, y, code from trails")
 def bleed_mask(spark, d):
     return px.bleed_mask(view(spark, "pixels", d), K, F.col("frame_id") % 2 == 0, limit=HOT, excess=100.0)
 
