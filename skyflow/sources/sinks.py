@@ -23,11 +23,11 @@ def write_table(df: DataFrame, path: str, partitions: Sequence[str] = ("obs_date
     (writer.partitionBy(*cols) if cols else writer).parquet(path)
 
 
-def frame_summary_line(df: DataFrame) -> DataFrame:
-    """Text line of the frame report: name, four sky levels, four seeing values."""
+def frame_summary_line(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Text line of the frame report: name, four sky levels, four seeing values; ``keep`` names other columns."""
     cols = [f"sky_{c}" for c in ("kk", "mm", "tt", "nn")] + [f"fwhm_{c}" for c in ("kk", "mm", "tt", "nn")]
     line = F.format_string("%s %7.1f %7.1f %7.1f %7.1f %5.1f %5.1f %5.1f %5.1f", "name", *cols)
-    return df.select(line.alias("line"))
+    return df.select(*keep, line.alias("line"))
 
 
 def write_text(lines: DataFrame, path: str, column: str = "line") -> None:
@@ -59,6 +59,36 @@ def write_regions(df: DataFrame, path: str, x: str, y: str, world: bool) -> None
     region_lines(df, x, y, world).orderBy("ord", "line").select("line").write.mode("overwrite").text(path)
 
 
+def image_regions(catalog: DataFrame, images: DataFrame, keys: Sequence[str], x: str = "x_image", y: str = "y_image") -> DataFrame:
+    """Region lines of every image: ``keys, ord, line``, head first.
+
+    ``images`` has ``keys, wcs``: with a solution the points are sky coordinates (6 decimals) of the pixels, without
+    one pixels. An image without a source has its head only; sources of an image that is not listed have no lines.
+    """
+    from skyflow.functions.wcs import to_world
+
+    keys = list(keys)
+    frame = F.when(F.col("wcs").isNotNull(), "fk5").otherwise("physical")
+    lines = F.array(*[F.lit(line) for line in REGION_HEAD], frame)
+    head = images.select(*keys, F.posexplode(lines).alias("ord", "line"))
+    # pixel centres of catalogues count from 1, those of solutions as their crpix does
+    placed = to_world(catalog.select(*keys, x, y).join(images.select(*keys, "wcs"), keys), x, y, "wcs", "_ra", "_dec")
+    solved = F.col("wcs").isNotNull()
+
+    def coordinate(sky: str, pixel: str) -> Column:
+        return F.when(solved, F.format_string("%.6f", F.col(sky))).otherwise(F.format_string("%.3f", F.col(pixel).cast("double")))
+
+    points = F.concat(F.lit("point("), coordinate("_ra", x), F.lit(","), coordinate("_dec", y), F.lit(") # point=circle"))
+    return head.unionByName(placed.select(*keys, F.lit(len(REGION_HEAD) + 1).alias("ord"), points.alias("line")))
+
+
+def write_image_regions(lines: DataFrame, path: str, keys: Sequence[str]) -> None:
+    """One region file per image, in a folder of its keys; images are dealt over tasks, none is sorted with another."""
+    keys = list(keys)
+    rows = lines.repartition(*keys).sortWithinPartitions(*keys, "ord", "line")
+    rows.select(*keys, "line").write.mode("overwrite").partitionBy(*keys).text(path)
+
+
 def quarantine_lines(df: DataFrame, reason: str = "reject_reason", name: str = "name") -> DataFrame:
     return df.where(F.col(reason).isNotNull()).select(
         reason, F.concat_ws(" ", F.col(reason), F.col(name)).alias("line")

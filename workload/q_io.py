@@ -7,11 +7,13 @@ import uuid
 from pyspark.sql import functions as F
 
 from skyflow.functions.naming import EXPECTED_BYTES
+from skyflow.functions.wcs import tan_struct
 from skyflow.operators import stacking as st
 from skyflow.session import ensure_checkpoint_dir
 from skyflow.sources import fits, sinks, text
 from skyflow.streaming import uploads as up
 from workload import fits_files as ff
+from workload.q_pixels import _to_sky
 from workload.sqlkit import query, sep, using
 from workload.views import table_of, view
 
@@ -228,6 +230,28 @@ def write_regions(spark, d):
     return spark.read.text(out).withColumnRenamed("value", "line")
 
 
+def _regions_sql() -> str:
+    scale = "(0.4e0/3600)"
+    ra, dec = _to_sky(f"(-x_image*{scale})", f"(y_image*{scale})", "(120.0e0+l_linenumber)", "-30.0e0")
+    return using("sources", ctes=f"""im as (select distinct chip, l_linenumber from sources),
+ p as (select *, {ra} as ra, {dec} as de from sources)""") + """select chip, l_linenumber, '# Region file format: DS9 version 4.1' as line from im
+ union all select chip, l_linenumber, 'global color=green dashlist=8 3 width=1 font="helvetica 10 normal roman" select=1 highlite=1 dash=0 fixed=0 edit=1 move=1 delete=1 include=1 source=1' from im
+ union all select chip, l_linenumber, case when chip='nn' then 'physical' else 'fk5' end from im
+ union all select chip, l_linenumber, case when chip='nn' then printf('point(%.3f,%.3f) # point=circle', x_image, y_image) else printf('point(%.6f,%.6f) # point=circle', ra, de) end from p"""
+
+
+@query("image_regions__S10", _regions_sql())
+def image_regions(spark, d):
+    """A region file for each image, in sky coordinates where it has a solution."""
+    out, keys = scratch(spark), ["chip", "l_linenumber"]
+    s = view(spark, "sources", d)
+    solution = tan_struct(F.lit(120.0) + F.col("l_linenumber"), F.lit(-30.0), 0.4 / 3600)
+    images = s.select(*keys).distinct().withColumn("wcs", F.when(F.col("chip") != "nn", solution))
+    sinks.write_image_regions(sinks.image_regions(s, images, keys), out, keys)
+    files = spark.read.schema("line string, chip string, l_linenumber long").text(out)
+    return files.select("chip", F.col("l_linenumber").cast(s.schema["l_linenumber"].dataType).alias("l_linenumber"), "line")
+
+
 _REASON = """case when frame_id%50<7 then 'badccderror' when fwhm>=4 then 'badseeing' when exptime>150 then 'badtracking' end"""
 
 
