@@ -147,6 +147,17 @@ def poly2d_fit(df: DataFrame, keys: Sequence[str], x: str, y: str, z: str, naxis
     return moments.mapInPandas(solve, schema)
 
 
+def amp_surface_fit(df: DataFrame, keys: Sequence[str], mag: str, ref_mag: str, x: str = "x_image", y: str = "y_image") -> DataFrame:
+    """Quadratic surface of ``instrumental - ref`` per amplifier: its coefficients, ``n_fit`` and ``bad``.
+
+    Six stars are needed; an amplifier with fewer, or with a surface that is not finite, is bad.
+    """
+    keys, names = list(keys), [f"c_{t}" for t in POLY_TERMS]
+    surface = poly2d_fit(df.withColumn("_d", F.col(mag) - F.col(ref_mag)), keys, x, y, "_d")
+    lost = F.greatest(*[(F.col(c).isNull() | F.isnan(c)).cast("int") for c in names]) == 1
+    return surface.select(*keys, *names, F.col("n").alias("n_fit"), ((F.col("n") < len(POLY_TERMS)) | lost).alias("bad"))
+
+
 def poly2d_value(x: Column, y: Column, naxis1: int = NAXIS1, naxis2: int = NAXIS2) -> Column:
     basis = poly2d_basis(x, y, naxis1, naxis2)
     total = F.lit(0.0)
@@ -178,14 +189,11 @@ def badamp_code(amps: DataFrame, keys: Sequence[str], n: int = 8) -> DataFrame:
 
 
 def amps_after_fit(fits: DataFrame, chips: DataFrame, keys: Sequence[str], n: int = 8) -> DataFrame:
-    """All amplifiers of the given chips; those without any fit are bad (slope 0, offset -30)."""
+    """All amplifiers of the given chips; those without any fit are bad (lines: slope 0, offset -30)."""
     keys = list(keys)
     every = chips.select(*keys).distinct().withColumn("amp", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
     joined = every.join(fits, keys + ["amp"], "left")
-    return joined.withColumns(
-        {
-            "bad": F.coalesce("bad", F.lit(True)),
-            "slope": F.coalesce("slope", F.lit(0.0)),
-            "intercept": F.coalesce("intercept", F.lit(-SCALED_ZERO_POINT)),
-        }
-    )
+    filled = {"bad": F.coalesce("bad", F.lit(True))}
+    if "slope" in fits.columns:
+        filled |= {"slope": F.coalesce("slope", F.lit(0.0)), "intercept": F.coalesce("intercept", F.lit(-SCALED_ZERO_POINT))}
+    return joined.withColumns(filled)

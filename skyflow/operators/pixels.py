@@ -302,6 +302,20 @@ def scale_zero_point(
     raise ValueError("mode must be '1DLINEAR' or '2DPOLYNOMIAL'")
 
 
+def scaled_saturation_2d(
+    fits: DataFrame, keys: Sequence[str], width: int = AMP_WIDTH, height: int = NAXIS2, limit: float = SATURATION
+) -> DataFrame:
+    """``60000 * median(scale)`` per chip for surfaces: scales have 4 decimals, so a chip has few different ones to count."""
+    rows = fits.withColumn("y", F.explode(F.sequence(F.lit(0), F.lit(height - 1))))
+    bad = F.coalesce("bad", F.lit(True))
+    scale = F.transform(
+        F.sequence(F.lit(0), F.lit(width - 1)),
+        lambda i: F.when(bad, F.lit(1.0)).otherwise(flux_ratio(SCALED_ZERO_POINT + poly2d_value(F.col("amp") * width + i, F.col("y")))),
+    )
+    middle = strip_median(rows.select(*keys, scale.alias("values")), keys, "_mid")
+    return middle.select(*keys, (F.col("_mid") * limit).alias("saturate"))
+
+
 def scaled_saturation(
     fits: DataFrame, keys: Sequence[str], height: int = NAXIS2, limit: float = SATURATION
 ) -> DataFrame:

@@ -64,3 +64,23 @@ def test_depth_follows_the_first_aperture(spark, tables):
     depths = {r["image"]: r["depth"] for r in c.summary.collect()}
     assert depths == {r["image"]: r["depth"] for r in want.collect()} and set(depths) == {"a", "b"}
     assert all(d == pytest.approx(17.0, abs=0.02) for d in depths.values())
+
+
+def test_surfaces_of_amplifiers_and_those_without_enough_stars(spark):
+    from skyflow.operators import pixels as px
+
+    rows = [(0, a, float(x), float(y), 15.0, 45.0 - 1e-5 * x + 2e-9 * x * y) for a in (0, 1) for x in range(a * 40 + 1, a * 40 + 40, 9) for y in range(5, 9000, 1500)]
+    rows += [(0, 2, 90.0 + i, 10.0, 15.0, 45.0) for i in range(5)]
+    stars = spark.createDataFrame(rows, "frame_id int, amp int, x_image double, y_image double, mag_auto double, ref_rmag double")
+    fits = ph.amp_surface_fit(stars, ["frame_id", "amp"], "mag_auto", "ref_rmag")
+    fits = ph.amps_after_fit(fits, stars, ["frame_id"], 4)
+    assert {r["amp"]: r["bad"] for r in fits.collect()} == {0: False, 1: False, 2: True, 3: True}
+    strips = spark.createDataFrame([(0, a, 7, [1.0] * 40) for a in range(4)], "frame_id int, amp int, y int, values array<double>")
+    scaled = {r["amp"]: r["values"] for r in px.scale_zero_point(strips, fits, ["frame_id"], "2DPOLYNOMIAL", 40).collect()}
+    want = [round(10 ** ((1e-5 * x - 2e-9 * x * 7) / 2.5), 4) for x in range(80)]
+    assert scaled[0] + scaled[1] == pytest.approx(want, abs=1.01e-4) and scaled[2] == scaled[3] == [1.0] * 40
+    middle = px.scaled_saturation_2d(fits, ["frame_id"], 40, 9).collect()
+    scales = sorted([1.0] * (2 * 40 * 9) + [round(10 ** ((1e-5 * x - 2e-9 * x * y) / 2.5), 4) for x in range(80) for y in range(9)])
+    assert len(middle) == 1 and middle[0]["saturate"] == pytest.approx(60000 * statistics.median(scales), abs=6.1)
+    with pytest.raises(ValueError):
+        jobs.scale_zeropoints(stars, stars, "rmag", mode="3D")
