@@ -151,3 +151,34 @@ def test_groups_match_in_cells_of_their_own_radius(spark):
         assert all(abs(got[n]["sep"] - nearest[n][0]) < 1e-4 for n in near)
     plan = mt.adaptive_match(s, r, group=["g"], rms="rms")._jdf.queryExecution().optimizedPlan().toString()
     assert "_class" in plan
+
+
+@pytest.mark.parametrize("how", ["match", "nearest"])
+def test_dense_fields_do_not_descend_row_by_row(spark, monkeypatch, how):
+    rng = np.random.default_rng(5)
+    left, right = (
+        pd.DataFrame({"number": np.arange(n), "alpha_j2000": 120 + rng.random(n) * 0.02, "delta_j2000": -30 + rng.random(n) * 0.02, "g": 0})
+        for n in (1500, 2500)
+    )
+    descended, descent = [], mt.nearest_by_descent
+
+    def counted(rows, *args):
+        descended.append(rows.count())
+        return descent(rows, *args)
+
+    monkeypatch.setattr(mt, "nearest_by_descent", counted)
+    l, r = spark.createDataFrame(left), spark.createDataFrame(right)
+    got = mt.sky_match(l, r, 5.0, keys=["g"], dense=16, **SAME) if how == "match" else mt.sky_nearest(l, r, keys=["g"], sep_col="sep", prefix="ref_")
+    got = got.select("number", "ref_number", "sep").toPandas().sort_values("number")
+    ids, sep = brute(left, right)
+    assert got.number.tolist() == left.number.tolist() and got.ref_number.tolist() == ids.tolist()
+    assert np.allclose(got.sep, sep, atol=2e-6)
+    assert sum(descended) < 30
+
+
+def test_batched_cells_keep_rows_without_key_or_sites(spark):
+    left = spark.createDataFrame([(1, "a", 10.0, 0.0), (2, None, 10.0, 0.0), (3, "b", 10.0, 0.0), (4, "a", None, 0.0)], "number long, k string, alpha_j2000 double, delta_j2000 double")
+    right = spark.createDataFrame([(100 + i, "a", 10.0 + i * 1e-5, 0.0) for i in range(200)] + [(7, None, 10.0, 0.0)], "number long, k string, alpha_j2000 double, delta_j2000 double")
+    for dense in (64, 8):  # batches at the radius, and closer first
+        got = mt.sky_match(left, right, 2.0, keys=["k"], how="left", dense=dense, **SAME).select("number", "k", "ref_number").collect()
+        assert sorted(map(tuple, got)) == [(1, "a", 100), (2, None, None), (3, "b", None), (4, "a", None)]
