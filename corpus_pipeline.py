@@ -23,15 +23,20 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one language for which the model is sure enough; texts without a letter go, and those too unlikely
-    in their best language, as texts in languages that were not learned are."""
-    rows = docs.where(F.pmod(id_crc32(F.col("doc_id")), F.lit(5)) != 0)
-    model = lang_id.fit(rows, public_tokenizers.path("piece_bpe_32k.model"))
-    least = lang_id.least_per_letter(rows, model)
-    found = lang_id.predicted(F.col("text"), model, spark)
+    in their best language, as texts in languages that were not learned are. Model and limits come from all rows with a
+    language whose crc32 of the id is not divisible by 5."""
+    names, rows = docs.columns, numbered(docs)
+    own_id, text, lang = (rows.columns[names.index(c)] for c in ("doc_id", "text", "lang"))
+    learned = F.pmod(id_crc32(F.col("doc_id")), F.lit(5)) != 0
+    model = lang_id.fit(docs.where(learned), public_tokenizers.path("piece_bpe_32k.model"))
+    # each text is judged once, for the limits and for its own row
+    judged = written(rows.withColumn("found", lang_id.predicted(F.col(text), model, spark)), "judged")
+    known = judged.select(F.col(own_id).alias("doc_id"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), "found")
     limit = F.lit(float("-inf"))
-    for lang, low in least.items():
-        limit = F.when(found["lang_pred"] == lang, low).otherwise(limit)
-    return docs.where((found["lang_pred"] != "und") & (found["score"] >= LEAST_LANGUAGE) & (found["per_letter"] >= limit))
+    for name, low in lang_id.least_of(known.where(learned & F.col("text").isNotNull())).items():
+        limit = F.when(F.col("found.lang_pred") == name, low).otherwise(limit)
+    sure = (F.col("found.lang_pred") != "und") & (F.col("found.score") >= LEAST_LANGUAGE)
+    return judged.where(sure & (F.col("found.per_letter") >= limit)).drop("found").toDF(*names)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

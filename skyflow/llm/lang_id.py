@@ -1,7 +1,7 @@
 """Language identification by unigrams over a fixed public vocabulary, summed over all segmentations.
 
-Each language has a probability for every piece of the vocabulary, learned by expectation-maximisation on words of
-a bounded sample. A word's probability in a language is the sum over all ways to cut it into pieces, found by a
+Each language has a probability for every piece of the vocabulary, learned by expectation-maximisation on the words of
+all rows. A word's probability in a language is the sum over all ways to cut it into pieces, found by a
 forward pass; a text's score multiplies its words. Both passes run on arrays of many words at a time.
 """
 
@@ -10,17 +10,21 @@ from __future__ import annotations
 import re
 import uuid
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyflow.llm.common import ENTRY_BYTES, KEPT_BYTES, LONGEST_KEY, begin, map_rows, numbered, prepare, worker_state, written
 
-#: Rows of each language that the fit uses, about; chosen by hash of the id.
-FIT_ROWS = 1000
+#: Words that a task counts before it hands its counts on.
+COUNTED = 100_000
+#: Width of the cells of log probabilities by letter in which ranks are looked up.
+CELL = 0.001
 #: Probability of any single character besides its learned share, so that every word can be cut.
 FLOOR = 1e-6
 #: Words up to this length go through the passes as arrays; longer ones one by one.
@@ -226,36 +230,32 @@ class WordScores:
         return out
 
 
-def sample(docs: DataFrame, rows: int) -> tuple[DataFrame, list[str]]:
-    """lang and text of about ``rows`` rows of each language, chosen by hash of the id; and the languages."""
-    known = docs.where("lang is not null and doc_id is not null and text is not null").select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
-    number = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    langs = sorted(number)
-    share = F.lit(0)
-    for lang in langs:
-        share = F.when(F.col("lang") == lang, int(min(1, rows / number[lang]) * (1 << 30))).otherwise(share)
-    return known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share).select("lang", "text"), langs
+def known_rows(docs: DataFrame) -> DataFrame:
+    """lang and text of every row that has both and an id."""
+    known = docs.where("lang is not null and doc_id is not null and text is not null")
+    return known.select(F.col("lang").cast("string").alias("lang"), "text")
 
 
-def fit(docs: DataFrame, vocabulary_path: str, rows: int = FIT_ROWS, rounds: int = 3) -> LanguageModel:
-    """Learns from the rows of ``docs`` with a language, about ``rows`` of each chosen by hash of the id.
+def fit(docs: DataFrame, vocabulary_path: str, rounds: int = 3) -> LanguageModel:
+    """Learns from all rows of ``docs`` with a language.
 
     Null languages, ids and texts are left out. No such rows: a model of no languages. Words of ``LONG`` letters or more
     are learned in cuts of fewer.
     """
     spark = prepare(docs.sparkSession)
-    picked, langs = sample(docs, rows)
+    known = known_rows(docs)
+    langs = sorted(r["lang"] for r in known.select("lang").distinct().collect())
 
     def count(items: Iterator[tuple]) -> Iterator[tuple]:
         seen: Counter = Counter()
         for lang, text in items:
             seen.update((lang, w[k : k + LONG - 1]) for w in words_of(text) for k in range(0, len(w), LONG - 1))
-            if len(seen) > 500_000:
+            if len(seen) > COUNTED:
                 yield from ((a, b, n) for (a, b), n in seen.items())
                 seen.clear()
         yield from ((a, b, n) for (a, b), n in seen.items())
 
-    table = map_rows(picked, count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    table = map_rows(known, count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     table = written(table, "words")
     # pieces with a character that no word has would get no probability; without them the trie is small
     chars = {START} | {r[0] for r in table.select(F.explode(F.split("word", ""))).distinct().collect()}
@@ -326,15 +326,47 @@ def predicted(text: Column, model: LanguageModel, spark) -> Column:
     return predict(text)
 
 
-def least_per_letter(docs: DataFrame, model: LanguageModel, rows: int = FIT_ROWS) -> dict[str, float]:
-    """For each language, the log probability by letter below which a text is not taken for it.
+def quantiles(df: DataFrame, key: str, value: str, shares: Sequence[float]) -> DataFrame:
+    """Exact quantiles of a column by key, between two ranks linear: ``key`` and an array ``q``.
 
-    Twice as far below the median of the rows to fit as their lowest hundredth, so that clean texts stay.
+    Rows are counted by narrow cells; only those in the cell of a wanted rank are ranked.
     """
-    picked, _ = sample(docs, rows)
-    fits = picked.select("lang", predicted(F.col("text"), model, docs.sparkSession).alias("f")).where("f.lang_pred = lang")
-    found = fits.groupBy("lang").agg(F.percentile("f.per_letter", F.array(F.lit(0.01), F.lit(0.5))).alias("q")).collect()
-    return {r["lang"]: 2 * r["q"][0] - r["q"][1] for r in found}
+    df = df.select(F.col(key).alias("k"), F.col(value).alias("v")).where("v is not null")
+    df = df.withColumn("cell", F.floor(F.col("v") / CELL))
+    cells = df.groupBy("k", "cell").agg(F.count("*").alias("n"))
+    every, ordered = Window.partitionBy("k"), Window.partitionBy("k").orderBy("cell")
+    cells = cells.select("k", "cell", "n", (F.sum("n").over(ordered) - F.col("n")).alias("below"), F.sum("n").over(every).alias("all"))
+    at = [F.lit(share) * (F.col("all") - 1) for share in shares]
+    ranks = [(F.floor(a), F.ceil(a)) for a in at]
+
+    def inside(rank: Column) -> Column:
+        return (F.col("below") <= rank) & (rank < F.col("below") + F.col("n"))
+
+    asked = cells.where(reduce(or_, [inside(r) for pair in ranks for r in pair])).drop("n")
+    values = df.groupBy("k", "cell", "v").agg(F.count("*").alias("n")).join(asked, ["k", "cell"])
+    upto = F.sum("n").over(Window.partitionBy("k", "cell").orderBy("v"))
+    values = values.withColumn("below", F.col("below") + upto - F.col("n"))
+
+    def value_at(rank: Column) -> Column:
+        return F.max(F.when(inside(rank), F.col("v")))
+
+    q = [value_at(lo) + (value_at(hi) - value_at(lo)) * F.max(a - lo) for a, (lo, hi) in zip(at, ranks)]
+    return values.groupBy("k").agg(F.array(*q).alias("q")).withColumnRenamed("k", key)
+
+
+def least_of(fits: DataFrame) -> dict[str, float]:
+    """For each language, the log probability by letter below which a text is not taken for it; one number a language.
+
+    ``fits`` has ``lang`` and ``found`` (of ``predicted``) of the rows to fit. Twice as far below the median of the rows
+    that are found in their language as their lowest hundredth, so that clean texts stay.
+    """
+    own = fits.where("found.lang_pred = lang").select("lang", "found.per_letter")
+    return {r["lang"]: 2 * r["q"][0] - r["q"][1] for r in quantiles(own, "lang", "per_letter", (0.01, 0.5)).collect()}
+
+
+def least_per_letter(docs: DataFrame, model: LanguageModel) -> dict[str, float]:
+    """``least_of`` all rows of ``docs`` with a language."""
+    return least_of(known_rows(docs).select("lang", predicted(F.col("text"), model, docs.sparkSession).alias("found")))
 
 
 def identify(docs: DataFrame, vocabulary_path: str, train_docs: DataFrame | None = None) -> DataFrame:

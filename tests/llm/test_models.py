@@ -147,6 +147,26 @@ def test_long_words_are_learned_from(spark):
     assert all(r["lang_pred"] == r["lang"] and r["_lang"] == "kept" for r in out)
 
 
+def test_languages_are_learned_from_all_rows(spark):
+    from skyflow.llm import lang_id
+
+    greek = [chr(c) for c in range(0x3B1, 0x3CA) if c != 0x3C2]
+    rows = [(i, "lorem " + (greek[i // 100] if i % 100 == 0 and i // 100 < len(greek) else "tusan"), "aa") for i in range(3000)]
+    model = lang_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), public_tokenizers.path("piece_bpe_32k.model"))
+    assert set(greek) <= set("".join(model.pieces))
+
+
+def test_quantiles_are_exact(spark):
+    from skyflow.llm import lang_id
+
+    rng = np.random.default_rng(3)
+    values = {"a": [*rng.normal(-2, 0.4, 997), *[-2.0] * 50], "b": [-1.5], "c": [-3.0, -1.0]}
+    rows = [(k, float(v)) for k, vs in values.items() for v in vs] + [("d", None)]
+    got = lang_id.quantiles(spark.createDataFrame(rows, "lang string, v double"), "lang", "v", (0.01, 0.5)).collect()
+    assert {r["lang"] for r in got} == set(values)
+    assert all(np.allclose(r["q"], np.quantile(values[r["lang"]], (0.01, 0.5)), atol=1e-12) for r in got)
+
+
 def language_model(spark, rows=None):
     from skyflow.llm import lang_id
 
