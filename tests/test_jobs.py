@@ -52,6 +52,14 @@ def test_one_aperture_at_a_fixed_radius(spark, tables):
     assert got["b"]["zp"] == pytest.approx(30.0) and "zp_mag_aper" not in c.summary.columns
 
 
+def test_summaries_read_one_written_match(spark, tables):
+    _, sources, refcat = tables
+    for rms in (None, "rms"):
+        c = jobs.calibrate_catalog(sources, refcat, ["image"], apertures=APERTURES, rms=rms, min_n=100, with_depth=False)
+        plan = c.summary._jdf.queryExecution().optimizedPlan().toString()
+        assert "_sites" not in plan and any("/matched-" in f for f in c.summary.inputFiles())
+
+
 def test_depth_follows_the_first_aperture(spark, tables):
     _, sources, refcat = tables
     grown = sources.withColumn("magerr_aper", F.exp((F.col("mag_auto") + 13) * 0.9) * 0.2)

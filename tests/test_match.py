@@ -112,6 +112,13 @@ def test_adaptive_radius(spark):
     assert unknown.count() == 0  # 0.5 arcsec, strict
 
 
+def test_adaptive_match_counts_and_returns_one_written_match(spark):
+    left = table(spark, [(i, 10.0 + i * 0.01, 0.0, 1.0) for i in range(20)], "number long, alpha_j2000 double, delta_j2000 double, rms double")
+    got = mt.adaptive_match(left, left.drop("rms"), group=["rms"], rms="rms", min_n=5, **SAME)
+    assert "_sites" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert got.count() == 20
+
+
 def test_cone_and_box_across_the_wrap(spark):
     t = table(spark, [(1, 359.95, 0.0), (2, 0.05, 0.0), (3, 1.0, 0.0), (4, 0.0, 89.99)])
     assert {r["number"] for r in cone_search(t, 0.0, 0.0, 0.1, "alpha_j2000", "delta_j2000").collect()} == {1, 2}
