@@ -92,3 +92,15 @@ def test_surfaces_of_amplifiers_and_those_without_enough_stars(spark):
     assert len(middle) == 1 and middle[0]["saturate"] == pytest.approx(60000 * statistics.median(scales), abs=6.1)
     with pytest.raises(ValueError):
         jobs.scale_zeropoints(stars, stars, "rmag", mode="3D")
+
+
+def test_spread_does_not_sort(spark):
+    """A scan of one split is dealt out as it streams, all of its rows, in about equal parts."""
+    from skyflow.session import spread
+
+    one = spark.range(0, 4000, 1, 1).withColumn("hot", F.lit(None).cast("long"))
+    out = spread(one)
+    assert "RoundRobin" not in out._jdf.queryExecution().executedPlan().toString()
+    parts = [r["n"] for r in out.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert sum(parts) == 4000 and len(parts) == spark.sparkContext.defaultParallelism and max(parts) < 1200
+    assert out.columns == one.columns and out.distinct().count() == 4000
