@@ -189,3 +189,20 @@ def test_batched_cells_keep_rows_without_key_or_sites(spark):
     for dense in (64, 8):  # batches at the radius, and closer first
         got = mt.sky_match(left, right, 2.0, keys=["k"], how="left", dense=dense, **SAME).select("number", "k", "ref_number").collect()
         assert sorted(map(tuple, got)) == [(1, "a", 100), (2, None, None), (3, "b", None), (4, "a", None)]
+
+
+def test_dense_matches_shuffle_places_only(spark):
+    rows = [(i, 10 + (i % 40) * 1e-4, 20 + (i // 40) * 1e-4) for i in range(400)]
+    right = spark.createDataFrame(rows, "ref_id long, raj2000 double, dej2000 double")
+    left = spark.createDataFrame([(i, str(a), d + 2e-5) for i, a, d in rows], "number long, alpha_j2000 string, delta_j2000 double")
+    sites = mt._reference_sites(right, ("raj2000", "dej2000"), "ref_id", [], [])
+    h = mt.cell_height(1 / 3600)
+    copies = mt.sky_cells(sites, "_ra", "_dec", 1 / 3600, copies=True, h=h, out="_cell")
+    cells = left.withColumn("_cell", mt.own_cell(F.col("alpha_j2000").cast("double"), F.col("delta_j2000"), h))
+    pos = ("alpha_j2000", "delta_j2000")
+    found = mt._within_dense(cells, pos, copies, ["_cell"], lambda b: b["raw"] < 1, "left")
+    got = {r["number"]: (r["alpha_j2000"], r["_best"]["s"]["id"], r["_best"]["sep"]) for r in found.collect()}
+    assert got == {i: (str(a), i, 0.072) for i, a, _ in rows}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("RepartitionByExpression"):]
+    assert "Union" in below and "_lx" not in below and "_x#" not in below
