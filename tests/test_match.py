@@ -206,3 +206,19 @@ def test_dense_matches_shuffle_places_only(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     below = plan[plan.index("RepartitionByExpression"):]
     assert "Union" in below and "_lx" not in below and "_x#" not in below
+
+
+def test_close_pass_is_written_once_for_positions(spark, monkeypatch):
+    """Rows of one position share one search, which no step behind it computes again."""
+    from skyflow.operators import match as mt
+
+    monkeypatch.setattr(mt, "DENSE", 4)
+    stars = spark.createDataFrame([(i, 10 + i % 20 * 1e-3, i // 20 * 1e-3, float(i)) for i in range(400)], "number long, alpha_j2000 double, delta_j2000 double, m double")
+    rows = [(i, 10.0 + i % 7 * 1e-3 + 1e-4, 2e-3) for i in range(70)] + [(70, 11.0, 0.0), (71, None, 0.0)]
+    left = spark.createDataFrame(rows, "id long, alpha_j2000 double, delta_j2000 double")
+    near = mt.sky_nearest(left, stars, right_cols=["m"])
+    assert any("/near-" in f for f in near.inputFiles())
+    assert "_near(" not in near._jdf.queryExecution().optimizedPlan().toString().replace("/near-", "")
+    got = {r["id"]: r["near_m"] for r in near.collect()}
+    assert len(got) == 72 and got[71] is None
+    assert all(got[i] == 40 + i % 7 for i in range(70)) and got[70] in range(19, 400, 20)
