@@ -222,3 +222,15 @@ def test_close_pass_is_written_once_for_positions(spark, monkeypatch):
     got = {r["id"]: r["near_m"] for r in near.collect()}
     assert len(got) == 72 and got[71] is None
     assert all(got[i] == 40 + i % 7 for i in range(70)) and got[70] in range(19, 400, 20)
+
+
+def test_cells_are_compared_in_blocks_as_in_pairs(spark, monkeypatch):
+    from skyflow.operators import match as mt
+
+    stars = spark.createDataFrame([(i, 10 + i * 37 % 101 * 1e-5, i * 53 % 97 * 1e-5) for i in range(900)], "ref_id long, raj2000 double, dej2000 double")
+    left = spark.createDataFrame([(i, 10 + i * 29 % 103 * 1e-5 + 3e-6, i * 31 % 89 * 1e-5) for i in range(300)], "number long, alpha_j2000 double, delta_j2000 double")
+    found = []
+    for block in (0, 1 << 40):
+        monkeypatch.setattr(mt, "BLOCK", block)
+        found.append(sorted(tuple(r) for r in mt.sky_match(left, stars, 0.5, dense=64).select("number", "ref_id", "sep").collect()))
+    assert found[0] == found[1] and len(found[0]) > 200
