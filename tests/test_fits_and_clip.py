@@ -128,3 +128,27 @@ def test_large_groups_with_null_keys(spark):
     for limit in (None, 10):
         got = {r["g"]: r for r in fits.huber_fit(line, ["g"], "x", "y", large=limit).collect()}
         assert set(got) == {"a", None} and all(abs(r["slope"] - 3) < 1e-3 and r["n"] == 60 for r in got.values())
+
+
+def test_large_groups_are_passed_over_in_a_written_copy(spark):
+    """The plan that values come from runs once for the check and once to write them, not for each pass."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(rows):
+        for block in rows:
+            seen.add(1)
+            yield block
+
+    rows = [("a" if i % 3 else "b", float(i % 50) + (1000.0 if i % 60 == 7 else 0.0), float(i % 17)) for i in range(600)]
+    plain = spark.createDataFrame(rows, "k string, v double, y double").coalesce(1)
+    slow = plain.mapInPandas(count, plain.schema)
+    bound = plain.select("k")
+    got = {r["k"]: r.asDict() for r in clip.clip_summary(slow, ["k"], "v", 3.0, large=100, bound=bound).collect()}
+    assert seen.value <= 2
+    want = {r["k"]: r.asDict() for r in clip.clip_summary(plain, ["k"], "v", 3.0).collect()}
+    for k, row in want.items():
+        assert got[k] == {c: v if isinstance(v, (str, int)) else pytest.approx(v) for c, v in row.items()}
+
+    before = seen.value
+    fit = {r["k"]: r for r in fits.huber_fit(slow, ["k"], "y", "v", large=100, bound=bound).collect()}
+    assert seen.value - before <= 2 and set(fit) == {"a", "b"}
